@@ -35,7 +35,7 @@ def clean_pages(pages: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Blank-separated words of a cleaned text; blank or null text has none."""
     cleaned = clean_text(text)
-    return F.filter(F.split(cleaned, " "), lambda word: word != "")
+    return F.array_remove(F.split(cleaned, " "), "")
 
 
 def html_text(html: Column) -> Column:

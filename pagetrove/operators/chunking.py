@@ -112,9 +112,14 @@ def with_splits(
 
 
 def explode_chunks(pages: DataFrame, text_col: str = "page_content") -> DataFrame:
-    """One row per chunk of ``with_splits``; the chunk's text takes the place of the page's."""
+    """One row per chunk of ``with_splits``; the chunk's text takes the place of the page's.
+
+    The outer form is chosen because for the inner one the optimizer puts a filter on the size of
+    ``splits`` in front, which would split every text one more time.
+    """
     kept = [c for c in pages.columns if c not in (text_col, "splits")]
-    return pages.select(*kept, F.posexplode("splits").alias("chunk_idx", text_col))
+    exploded = pages.select(*kept, F.posexplode_outer("splits").alias("chunk_idx", text_col))
+    return exploded.where(F.col("chunk_idx").isNotNull())
 
 
 def chunk(pages: DataFrame, *args, text_col: str = "page_content", **kwargs) -> DataFrame:

