@@ -70,7 +70,7 @@ pack AS (
   UNION ALL
   SELECT doc_id, run, c, k, len(list_filter(c, lambda x: x <= c[k] + 2500))
   FROM (
-    SELECT doc_id, run, c, least(j - 1, greatest(
+    SELECT doc_id, run, c, least(j, greatest(
              len(list_filter(c, lambda x: x < c[j] - 100)),
              len(list_filter(c, lambda x: x < c[j + 1] - 2500))) + 1) AS k
     FROM pack WHERE j < len(c))),

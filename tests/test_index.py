@@ -1,0 +1,125 @@
+import glob
+
+import numpy as np
+import pytest
+from conftest import plan
+from pyspark.sql import functions as F
+
+from pagetrove.operators import index
+from pagetrove.operators import search as nn
+
+RNG = np.random.default_rng(8)
+CENTERS = RNG.normal(size=(6, 10))
+VECTORS = (CENTERS[RNG.integers(0, 6, 400)] + 0.4 * RNG.normal(size=(400, 10))).astype(np.float32)
+VECTORS[3] = 0
+QUERIES = (CENTERS + 0.3 * RNG.normal(size=CENTERS.shape)).astype(np.float32)
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    rows = [(i, v.tolist(), f"text {i}") for i, v in enumerate(VECTORS)]
+    path = str(tmp_path_factory.mktemp("corpus") / "rows")
+    spark.createDataFrame(rows, "id long, embeddings array<float>, page_content string").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def queries(spark):
+    rows = [(i, v.tolist()) for i, v in enumerate(QUERIES)]
+    return spark.createDataFrame(rows, "query_id long, embeddings array<float>")
+
+
+@pytest.fixture(scope="module")
+def built(corpus, tmp_path_factory):
+    return index.build_index(corpus, str(tmp_path_factory.mktemp("index")), nlist=6)
+
+
+def found(df):
+    return [(r.query_id, r["rank"], r.id, r.score) for r in df.sort("query_id", "rank").collect()]
+
+
+def test_cells_hold_the_whole_collection(spark, corpus, built):
+    cells = index.read_cells(spark, built)
+    assert sorted(r.id for r in cells.select("id").collect()) == list(range(400))
+
+
+def test_rows_lie_in_their_nearest_cell(spark, built):
+    centroids = {r.cell: np.array(r.centroid) for r in spark.read.parquet(f"{built}/centroids").collect()}
+    numbers = sorted(centroids)
+    matrix = np.array([centroids[c] / np.linalg.norm(centroids[c]) for c in numbers])
+    for row in index.read_cells(spark, built).collect():
+        v = np.array(row.embeddings, dtype=np.float64)
+        scores = np.round(matrix @ v / (np.linalg.norm(v) or 1.0), 6)
+        assert row.cell == numbers[int(scores.argmax())]
+
+
+def test_probing_all_cells_is_exact(spark, corpus, queries, built):
+    assert found(index.search_index(spark, built, queries, 7, 6)) == found(nn.search(corpus, queries, 7))
+
+
+def test_recall_does_not_fall_with_more_probes(spark, corpus, queries, built):
+    exact = {h[:1] + h[2:3] for h in found(nn.search(corpus, queries, 20))}
+    shares = [
+        len(exact & {h[:1] + h[2:3] for h in found(index.search_index(spark, built, queries, 20, n))})
+        for n in (1, 2, 4, 6)
+    ]
+    assert shares == sorted(shares) and shares[0] > 0 and shares[-1] == len(exact)
+
+
+def test_probed_cells_only(spark, queries, built):
+    centroids = spark.read.parquet(f"{built}/centroids")
+    probed = index.assign_cells(queries, centroids, out="cells", nprobe=2)
+    allowed = {r.query_id: set(r.cells) for r in probed.collect()}
+    cell_of = {r.id: r.cell for r in index.read_cells(spark, built).collect()}
+    hits = found(index.search_index(spark, built, queries, 500, 2))
+    assert all(cell_of[i] in allowed[q] for q, _, i, _ in hits)
+    sizes = {q: sum(c in cells for c in cell_of.values()) for q, cells in allowed.items()}
+    assert len(hits) == sum(sizes.values())
+
+
+def test_partition_pruning(spark, queries, built):
+    text = plan(index.search_index(spark, built, queries.where("query_id = 0"), 3, 1))
+    assert "PartitionFilters: [isnotnull(cell" in text and "PushedFilters: []" in text
+
+
+def test_options_pass_through(spark, queries, built):
+    hits = index.search_index(spark, built, queries, 4, 6, expr="id % 2 = 0", threshold=0.5,
+                              output_fields=["page_content"]).collect()
+    assert hits and all(r.id % 2 == 0 and r.score > 0.5 and r.page_content == f"text {r.id}" for r in hits)
+
+
+def test_hot_cell_is_split_over_files(spark, tmp_path):
+    hot = spark.range(0, 60_000, 1, 8).select(
+        "id", F.transform(F.sequence(F.lit(0), F.lit(31)),
+                          lambda i: F.pmod(F.xxhash64("id", i), F.lit(97)).cast("float") + 1)
+        .alias("embeddings"))
+    centroids = spark.createDataFrame([(0, [1.0] * 32), (1, [-1.0] * 32)], index.CENTROIDS)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        path = index.build_index(hot, str(tmp_path / "hot"), centroids)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert len(glob.glob(f"{path}/cells/cell=0/*.parquet")) > 2
+    assert index.read_cells(spark, path).count() == 60_000
+
+
+def test_mean_centroids(spark):
+    df = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [3.0, 4.0])], "label int, embeddings array<float>")
+    got = {r.cell: list(r.centroid) for r in index.mean_centroids(df, "label").collect()}
+    assert got == {1: [0.5, 0.5], 2: [3.0, 4.0]}
+
+
+def test_assignment_ties_and_nulls(spark):
+    df = spark.createDataFrame([(0, [1.0, 1.0]), (1, None), (2, [0.0, 0.0])], "id int, embeddings array<float>")
+    centroids = spark.createDataFrame([(9, [1.0, 0.0]), (4, [0.0, 1.0]), (6, [-1.0, 0.0])], index.CENTROIDS)
+    got = {r.id: (r.cell, r.two) for r in index.assign_cells(
+        index.assign_cells(df, centroids), centroids, out="two", nprobe=2).collect()}
+    assert got == {0: (4, [4, 9]), 1: (None, None), 2: (4, [4, 6])}
+
+
+def test_too_few_vectors(spark):
+    df = spark.createDataFrame([(0, [1.0, 1.0])], "id int, embeddings array<float>")
+    with pytest.raises(ValueError):
+        index.train_centroids(df, 8)

@@ -1,0 +1,47 @@
+import pytest
+from conftest import plan
+from pyspark.sql import functions as F
+
+from pagetrove.operators import numbering
+
+
+@pytest.mark.parametrize("width", [3, 16, 65_536])
+def test_number_within_a_hot_group(spark, width):
+    df = spark.range(0, 400, 1, 7).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("s"), F.col("id") % 5)).otherwise("hot").alias("g"),
+        ((F.col("id") * 37) % 400 - 150).alias("key"),
+    )
+    got = numbering.number_within(df, "g", "key", width=width, start=1).toPandas()
+    expected = got.groupby("g")["key"].rank(method="first").astype(int)
+    assert len(got) == 400 and (got["position"] == expected).all()
+
+
+def test_number_within_with_ties(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("a", 0, 2), ("a", 1, 0), ("b", 5, 9)], "g string, k int, t int")
+    got = numbering.number_within(df, "g", "k", ["t"], width=1)
+    assert sorted(map(tuple, got.collect())) == [("a", 0, 2, 0), ("a", 1, 0, 1), ("a", 1, 1, 2), ("b", 5, 9, 0)]
+
+
+def test_dense_ids_follow_the_key(spark):
+    df = spark.range(0, 1000, 1, 9).select(((F.col("id") * 7919) % 1000).alias("key"))
+    ids = numbering.dense_ids(df, "key", start=5)
+    got = ids.sort("id").collect()
+    assert [(r.id, r.key) for r in got] == [(i + 5, i) for i in range(1000)]
+
+
+def test_ids_as_written_keep_the_order_and_have_no_gaps(spark):
+    df = spark.range(0, 1000, 1, 13).where("id % 4 <> 0 and id not between 100 and 300")
+    rows = numbering.ids_as_written(df.withColumnRenamed("id", "key")).sort("id").collect()
+    assert [r.id for r in rows] == list(range(1, len(rows) + 1))
+    assert [r.key for r in rows] == [r.id for r in df.collect()]
+
+
+def test_ids_of_an_empty_table(spark):
+    assert numbering.dense_ids(spark.range(0).toDF("key"), "key").count() == 0
+
+
+def test_ids_need_no_global_window_over_rows(spark):
+    df = spark.range(0, 100, 1, 4).withColumnRenamed("id", "key")
+    text = plan(numbering.dense_ids(df, "key"))
+    before_join = text[:text.index("BroadcastExchange")]
+    assert "SinglePartition" not in before_join
