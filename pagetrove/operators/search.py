@@ -10,13 +10,14 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetrove.functions import vectors as V
 from pagetrove.operators.numbering import ids_as_written
-from pagetrove.session import scratch_path
+from pagetrove.session import scratch_path, settled
 
 # Search defaults.
 LIMIT = 3
@@ -28,6 +29,8 @@ BLOCK_BYTES = 64 << 20
 FIRST_QUERIES = 1024
 # Bound on one score matrix inside a task, in elements.
 SCORES = 4 << 20
+# The files of up to this many hits are listed in the plan.
+LISTED_HITS = 10_000
 # Hits are broadcast for the look-up of output fields up to this many rows.
 BROADCAST_HITS = 500_000
 
@@ -49,9 +52,9 @@ class _Best:
             return
         step = max(1, SCORES // len(members))
         for at in range(0, len(rows), step):
-            merit = self.sign * V.score_matrix(
-                rows[at:at + step], self.matrix[members], self.metric
-            )
+            scores = V.score_matrix(rows[at:at + step], self.matrix[members], self.metric)
+            # A vector with NaN or infinite elements has no score and is no hit.
+            merit = np.where(np.isfinite(scores), self.sign * scores, -np.inf)
             self._take(merit, members, keys.slice(at, step))
 
     def _take(self, merit, members, keys):
@@ -60,7 +63,7 @@ class _Best:
             kth = np.partition(merit, len(merit) - self.k, axis=0)[len(merit) - self.k]
             bar = np.maximum(bar, kth)
         # Rows equal to the k-th score stay in: their ids decide.
-        wanted = merit >= bar
+        wanted = (merit >= bar) & (merit > -np.inf)
         if self.threshold is not None:
             wanted &= merit > self.threshold
         row, member = np.nonzero(wanted)
@@ -222,12 +225,31 @@ def _search_in_blocks(rows, wanted, cap, columns, args):
     return spark.read.schema(_no_hits(rows, args).schema).parquet(results)
 
 
+def in_files_of_hits(rows, keys, hits, bound):
+    """The rows, read from the files that hold a hit only.
+
+    A first scan of the key columns finds these files; the wide columns of all others stay unread.
+    Rows that do not come from files, and hits too many for a list of files, change nothing.
+    """
+    if bound is None or bound > LISTED_HITS:
+        return rows
+    try:
+        placed = rows.select(*keys, F.col("_metadata.file_path").alias("__file"))
+    except AnalysisException:
+        return rows
+    wanted = F.broadcast(hits.select(*keys).distinct())
+    found = placed.join(wanted, list(keys), "left_semi").select("__file").distinct().collect()
+    return rows.where(F.col("_metadata.file_path").isin([row["__file"] for row in found]))
+
+
 def _with_fields(hits, rows, ids, output_fields, query_id, bound):
     """Fetch output fields for the hits alone; the scoring scan never reads them."""
     columns = [query_id, "rank", *ids, "score"]
     extra = [name for name in output_fields if name not in columns]
     if extra:
+        hits = settled(hits, "hits")
         small = F.broadcast(hits) if bound is not None and bound <= BROADCAST_HITS else hits
+        rows = in_files_of_hits(rows, ids, hits, bound)
         hits = rows.select(*ids, *extra).join(small, list(ids))
     return hits.select(*columns, *extra)
 
@@ -250,7 +272,7 @@ def nearest(
     target = F.array(*[F.lit(float(x)) for x in vector])
     scored = rows.where(F.col(anns_field).isNotNull()).select(
         *ids, *output_fields, V.similarity(F.col(anns_field), target, metric).alias("score")
-    )
+    ).where(F.abs("score") < float("inf"))
     if threshold is not None:
         scored = scored.where(F.col("score") > threshold if better else F.col("score") < threshold)
     order = F.col("score").desc() if better else F.col("score").asc()

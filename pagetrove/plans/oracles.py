@@ -269,7 +269,7 @@ FROM documents""",
     "knn_cosine": knn(),
     "knn_l2": knn(metric="L2"),
     "knn_ip": knn(metric="IP"),
-    "knn_filtered": knn(where="label % 3 = 1 AND vec_id >= 0"),
+    "knn_filtered": knn(where="label >= 5"),
     "knn_threshold": knn(k=50, keep="score > 0.3"),
     "knn_l2_threshold": knn(k=50, metric="L2", keep="score < 0.95"),
     "knn_output_fields": knn(extra=", label"),

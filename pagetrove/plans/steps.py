@@ -115,8 +115,9 @@ def text_hits(
     hits = settled(
         nn.search(corpus, asked, k, ids=(key, "chunk_idx"), threshold=threshold), "hits"
     )
-    small = F.broadcast(hits) if hits.count() <= nn.BROADCAST_HITS else hits
-    hit_pages = pages.join(small.select(key).distinct(), key, "left_semi")
+    bound = hits.count()
+    small = F.broadcast(hits) if bound <= nn.BROADCAST_HITS else hits
+    hit_pages = nn.in_files_of_hits(pages, [key], hits, bound).join(small.select(key).distinct(), key, "left_semi")
     texts = chunking.chunk(hit_pages, size, overlap, chunking.TOKENS)
     return texts.join(small, [key, "chunk_idx"]).select(
         "query_id", "rank", key, "chunk_idx", "score", "page_content"

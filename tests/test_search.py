@@ -97,6 +97,28 @@ def test_rows_without_vector_are_no_hits(spark, queries):
     assert {h[2] for h in found(nn.search(corpus, queries, 3))} == {2}
 
 
+def test_vectors_without_a_score_are_no_hits(spark, queries):
+    odd = [(1, [float("nan")] * DIM), (2, [float("inf")] * DIM), (3, [1.0] * DIM), (4, [2.0] * DIM)]
+    corpus = spark.createDataFrame(odd, "id long, embeddings array<float>").coalesce(1)
+    for metric in ("COSINE", "IP", "L2"):
+        assert {h[2] for h in found(nn.search(corpus, queries, 2, metric=metric))} == {3, 4}
+        assert {r.id for r in nn.nearest(corpus, [1.0] * DIM, 4, metric=metric).collect()} == {3, 4}
+
+
+def test_output_fields_come_from_the_files_of_hits(spark, tmp_path):
+    vectors = F.array(F.cos(F.col("id") / 100), F.sin(F.col("id") / 100)).cast("array<float>")
+    spark.range(0, 300, 1, 10).select(
+        "id", vectors.alias("embeddings"), F.concat(F.lit("t"), "id").alias("page_content")
+    ).write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    asked = spark.createDataFrame([(0, [1.0, 0.0])], "query_id int, embeddings array<float>")
+    hits = nn.search(stored, asked, 3, output_fields=["page_content"])
+    assert [r.page_content for r in hits.sort("rank").collect()] == ["t0", "t1", "t2"]
+    restricted = nn.in_files_of_hits(stored, ["id"], hits.select("id"), 3)
+    assert restricted.select("_metadata.file_path").distinct().count() == 1
+    assert restricted.count() == 30
+
+
 def test_wrong_dimension_fails(spark, queries):
     corpus = spark.createDataFrame([(2, [1.0, 2.0])], "id long, embeddings array<float>")
     with pytest.raises(Exception, match="elements"):
