@@ -28,16 +28,20 @@ CENTROIDS = T.StructType([
 
 def train_centroids(
     vectors: DataFrame, nlist: int = NLIST, anns_field: str = "embeddings",
-    max_iter: int = 20, seed: int = 1,
+    max_iter: int = 20, seed: int = 1, fraction: float | None = None,
 ) -> DataFrame:
     """Centroids of spherical k-means over all vectors: rows of (cell, centroid).
 
+    k-means goes over its input once per iteration. ``fraction`` lets it learn from a share of a very
+    large collection; the index holds every row all the same.
     Zero vectors have no direction and are left out of the training, not of the index. There are at
     most as many cells as vectors.
     """
     points = vectors.where(F.exists(anns_field, lambda x: x != 0)).select(
         array_to_vector(F.col(anns_field).cast("array<double>")).alias("features")
     )
+    if fraction is not None:
+        points = points.sample(fraction, seed)
     # Only tells whether there are fewer vectors than cells.
     cells = min(nlist, points.limit(nlist).count())
     if cells < 2:

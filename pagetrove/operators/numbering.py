@@ -5,12 +5,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetrove.session import scratch_path
+from pagetrove.session import scratch_path, settled
 
 # Above this many offset rows the offsets are joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 500_000
 
 
+def _range_start(column, width):
+    """Ranges of an integer column are named after their first value."""
+    return F.col(column) - F.pmod(F.col(column), F.lit(width))
+
+
+def _rows_before(counts, group, width, step, levels):
+    """For every (group, __range) the number of rows in the group's earlier ranges.
+
+    ``step`` ranges at a time are summed up under a wider range, whose own number of earlier rows is
+    found in the same way. No window sees more than ``step`` rows below the top level.
+    """
+    if levels == 1:
+        earlier = Window.partitionBy(group).orderBy("__range").rowsBetween(
+            Window.unboundedPreceding, -1)
+        return counts.select(
+            group, "__range", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+    wide = width * step
+    counts = settled(counts, "counts")
+    placed = counts.withColumn("__wide", _range_start("__range", wide))
+    totals = placed.groupBy(group, F.col("__wide").alias("__range")).agg(
+        F.sum("__rows").alias("__rows"))
+    above = _rows_before(totals, group, wide, step, levels - 1).withColumnsRenamed(
+        {"__range": "__wide", "__before": "__above"})
+    earlier = Window.partitionBy(group, "__wide").orderBy("__range").rowsBetween(
+        Window.unboundedPreceding, -1)
+    inside = placed.withColumn("__inside", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
+    return inside.join(above, [group, "__wide"]).select(
+        group, "__range", (F.col("__inside") + F.col("__above")).alias("__before"))
+
+
 def number_within(
     df: DataFrame,
     group: str,
@@ -24,21 +54,22 @@ def number_within(
 
     A group may hold most of the table, so it is numbered in key ranges of ``width``: a range's rows
     are numbered on their own, then shifted by the row count of the group's earlier ranges. If the
-    key is unique in its group, no range has more than ``width`` rows. Group and key must not be
-    null.
+    key is unique in its group, no task has to sort more than ``width`` rows of a group, however the
+    keys are spread. Group and key must not be null.
     """
-    # The label of a range is its first key.
-    keyed = df.withColumn("__range", F.col(key) - F.pmod(F.col(key), F.lit(width)))
+    ends = df.agg(F.min(key).alias("least"), F.max(key).alias("most")).first()
+    ranges = 1 if ends["least"] is None else (ends["most"] - ends["least"]) // width + 2
+    levels = 1
+    while ranges > width ** levels:
+        levels += 1
+    keyed = df.withColumn("__range", _range_start(key, width))
     counts = keyed.groupBy(group, "__range").agg(F.count("*").alias("__rows"))
-    earlier = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select(
-        group, "__range", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__shift")
-    )
+    before = _rows_before(counts, group, width, width, levels)
     in_range = Window.partitionBy(group, "__range").orderBy(key, *ties)
     numbered = keyed.withColumn("__local", F.row_number().over(in_range))
-    position = F.col("__local") + F.col("__shift") + F.lit(start - 1)
+    position = F.col("__local") + F.col("__before") + F.lit(start - 1)
     return (
-        numbered.join(shifts, [group, "__range"])
+        numbered.join(before, [group, "__range"])
         .withColumn(out, position.cast("long"))
         .select(*df.columns, out)
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pagetrove.operators import numbering
 
 
-@pytest.mark.parametrize("width", [3, 16, 65_536])
+@pytest.mark.parametrize("width", [8, 16, 65_536])
 def test_number_within_a_hot_group(spark, width):
     df = spark.range(0, 400, 1, 7).select(
         F.when(F.col("id") % 3 == 0, F.concat(F.lit("s"), F.col("id") % 5)).otherwise("hot").alias("g"),
@@ -16,9 +16,22 @@ def test_number_within_a_hot_group(spark, width):
     assert len(got) == 400 and (got["position"] == expected).all()
 
 
+@pytest.mark.parametrize("spacing, width", [(1, 32), (40, 32), (9 * 10**15, 65_536)])
+def test_number_within_sparse_keys(spark, spacing, width):
+    df = spark.range(0, 500, 1, 5).select(
+        F.lit("hot").alias("g"), ((F.col("id") * 211) % 500 * F.lit(spacing) - spacing).alias("key"))
+    rows = numbering.number_within(df, "g", "key", width=width).sort("key").collect()
+    assert [r.position for r in rows] == list(range(500))
+
+
+def test_number_within_nothing(spark):
+    df = spark.createDataFrame([], "g string, key long")
+    assert numbering.number_within(df, "g", "key").collect() == []
+
+
 def test_number_within_with_ties(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 0, 2), ("a", 1, 0), ("b", 5, 9)], "g string, k int, t int")
-    got = numbering.number_within(df, "g", "k", ["t"], width=1)
+    got = numbering.number_within(df, "g", "k", ["t"], width=2)
     assert sorted(map(tuple, got.collect())) == [("a", 0, 2, 0), ("a", 1, 0, 1), ("a", 1, 1, 2), ("b", 5, 9, 0)]
 
 
