@@ -21,9 +21,7 @@ def clean_text(text: Column) -> Column:
 
     A URL ends at white space of any kind, so line breaks need no step of their own.
     """
-    without_urls = F.when(
-        text.contains("http"), F.regexp_replace(text, rf"http[^{WHITESPACE}]+", "")
-    ).otherwise(text)
+    without_urls = F.regexp_replace(text, rf"http[^{WHITESPACE}]+", "")
     return F.trim(F.regexp_replace(without_urls, rf"[{WHITESPACE}]+", " "))
 
 

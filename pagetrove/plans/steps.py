@@ -68,7 +68,8 @@ class DocumentSearch:
         its index. The stored collection is returned. No step shuffles the chunk texts."""
         numbered = numbering.ids_as_written(chunks)
         embedded = embedding.embed(numbered, self.embedder)
-        store.create_collection(embedded, f"{self.collection}/rows")
+        dim = getattr(self.embedder, "dim", None)
+        store.create_collection(embedded, f"{self.collection}/rows", dim)
         stored = store.read_collection(self.spark, f"{self.collection}/rows")
         index.build_index(stored, f"{self.collection}/index", centroids, nlist)
         return stored

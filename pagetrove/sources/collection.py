@@ -44,8 +44,12 @@ def vector_dimension(df: DataFrame, anns_field: str = "embeddings") -> DataFrame
 
 
 def _first_dimension(df):
-    row = df.where("embeddings is not null").select(F.size("embeddings").alias("dim")).first()
-    return row["dim"] if row else None
+    vectors = df.select("embeddings")
+    # Mostly the first row has a vector; the filter is for the rest, since it may run an embedder.
+    row = vectors.first()
+    if row is not None and row["embeddings"] is None:
+        row = vectors.where("embeddings is not null").first()
+    return None if row is None else len(row["embeddings"])
 
 
 def _broken(dim: int) -> dict[str, Column]:
