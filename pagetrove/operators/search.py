@@ -25,6 +25,8 @@ THRESHOLD = 0.70
 
 # Bound on one broadcast block of queries; more queries are searched block after block.
 BLOCK_BYTES = 64 << 20
+# Bound on the hits that a task keeps for one block, so that a large k makes blocks smaller.
+TASK_HITS = 2_000_000
 # Queries fetched to learn their number and dimension; most searches have no more.
 FIRST_QUERIES = 1024
 # Bound on one score matrix inside a task, in elements.
@@ -186,7 +188,7 @@ def search(
     if not found.num_rows:
         return _with_fields(_no_hits(rows, args), rows, ids, output_fields, query_id, 0)
     dim = len(found.column(query_field)[0])
-    cap = max(1, block_bytes // (8 * dim))
+    cap = max(1, min(block_bytes // (8 * dim), TASK_HITS // k))
     if found.num_rows > FIRST_QUERIES and cap > FIRST_QUERIES:
         found = wanted.limit(cap + 1).toArrow()
     if found.num_rows <= cap:

@@ -126,7 +126,7 @@ def test_inherited_columns(spark):
 
 
 @pytest.mark.parametrize("size, overlap, splitter", [
-    (0, 0, C.TOKENS), (5, -1, C.TOKENS), (5, 5, C.TOKENS), ("5", 1, C.TOKENS), (5, 1, "TikTokenSplitter"),
+    (0, 0, C.TOKENS), (5, -1, C.TOKENS), (5, 5, C.TOKENS), ("5", 1, C.TOKENS), (5, 1, "Unknown"),
 ])
 def test_bad_parameters(spark, size, overlap, splitter):
     with pytest.raises(ValueError):

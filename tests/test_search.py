@@ -74,6 +74,11 @@ def test_more_queries_than_one_block_holds(corpus, queries, block):
     assert all(r.tag == r.id % 4 for r in hits.collect())
 
 
+def test_large_k_makes_blocks_smaller(corpus, queries, monkeypatch):
+    monkeypatch.setattr(nn, "TASK_HITS", 40)
+    assert found(nn.search(corpus, queries, 10)) == brute(10)
+
+
 def test_filter_comes_before_the_limit(corpus, queries):
     assert found(nn.search(corpus, queries, 3, expr="tag = 2")) == brute(3, keep=lambda i: i % 4 == 2)
 

@@ -4,7 +4,7 @@ from pagetrove.plans.steps import DocumentSearch
 from pagetrove.sources import collection as store
 
 TEXTS = {
-    "lungs.pdf": "stages of lung cancer\ftreatment of lung cancer\f",
+    "glaciers.pdf": "forms of mountain glaciers\fretreat of mountain glaciers\f",
     "cars.pdf": "electric cars and batteries\fold cars\f",
     "bread.PDF": "how to bake bread with yeast",
 }
@@ -33,14 +33,14 @@ def test_ids_are_dense(spark, flow):
 
 @pytest.mark.parametrize("exact", [True, False])
 def test_retrieve(flow, exact):
-    hits = flow.retrieve("what are the stages of lung cancer", threshold=0.1, exact=exact, nprobe=3)
+    hits = flow.retrieve("what are the forms of mountain glaciers", threshold=0.1, exact=exact, nprobe=3)
     rows = hits.sort("rank").collect()
-    assert rows[0].page_content == "stages of lung cancer" and rows[0]["rank"] == 1
+    assert rows[0].page_content == "forms of mountain glaciers" and rows[0]["rank"] == 1
     assert all(a.score >= b.score > 0.1 for a, b in zip(rows, rows[1:]))
 
 
 def test_defaults_and_zero_values(flow):
-    query = "stages of lung cancer"
+    query = "forms of mountain glaciers"
     default = flow.retrieve(query, exact=True).collect()
     assert [r.score for r in default] == [pytest.approx(1.0), pytest.approx(0.75)]
     assert len(flow.retrieve(query, threshold=0.0, exact=True).collect()) == 3
@@ -49,7 +49,7 @@ def test_defaults_and_zero_values(flow):
 
 
 def test_filter_and_fields(flow):
-    hits = flow.retrieve("lung cancer", threshold=0.0, expr="page_content like 'treatment%'",
+    hits = flow.retrieve("mountain glaciers", threshold=0.0, expr="page_content like 'retreat%'",
                          output_fields=["metadata"], exact=True)
     assert hits.columns == ["query_id", "rank", "id", "score", "metadata"]
     assert hits.count() == 1
@@ -65,7 +65,7 @@ def test_many_queries(spark, flow):
 def test_written_output(spark, flow):
     summary = spark.read.csv(f"{flow.output}/doc_summary", header=True).collect()
     assert sorted((r.file_path.rsplit("/", 1)[1], r.page_count, r.chunk_counts) for r in summary) == [
-        ("bread.PDF", "1", "1"), ("cars.pdf", "2", "2"), ("lungs.pdf", "2", "2")]
+        ("bread.PDF", "1", "1"), ("cars.pdf", "2", "2"), ("glaciers.pdf", "2", "2")]
     lines = [r.value for r in spark.read.text(f"{flow.output}/chunks/report").collect()]
     assert sum(" Chunk 2 " in line for line in lines) == 2
     assert len(spark.read.text(f"{flow.output}/extracted_text/report").collect()) > 5
