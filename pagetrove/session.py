@@ -1,27 +1,53 @@
 """Small helpers around the running Spark session."""
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_BASE = {}
+_PACKAGE = os.path.dirname(os.path.abspath(__file__))
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, whose Python workers run parts of it, and bound the Arrow
+    batches they get by bytes as well as by rows, as some texts are very long."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    with tempfile.TemporaryDirectory(prefix="pagetrove-") as folder:
+        root, name = os.path.split(_PACKAGE)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", root, name))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    _SHIPPED.add(app)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder for one intermediate table.
 
     The folder lies under ``spark.checkpoint.dir``, which every executor of the cluster can reach, so
-    what is written there outlives the executor that wrote it. Only a local session may do without
-    the setting; it gets a temporary folder of this machine.
+    what is written there outlives the executor that wrote it. Without that setting it lies in the
+    warehouse folder, which is shared as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        base = _LOCAL_BASE.setdefault(app, tempfile.mkdtemp(prefix="pagetrove-"))
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete one folder, such as an intermediate table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application. Results that still read them are lost."""
+    drop_folder(spark, _scratch_root(spark))
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
