@@ -17,9 +17,10 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
-    with tempfile.TemporaryDirectory(prefix="pagetrove-") as folder:
-        root, name = os.path.split(_PACKAGE)
-        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", root, name))
+    root, name = os.path.split(_PACKAGE)
+    # The driver serves this file to executors as long as the application runs.
+    base = os.path.join(tempfile.mkdtemp(prefix="pagetrove-"), name)
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, name))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     _SHIPPED.add(app)
 
