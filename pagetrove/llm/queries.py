@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import simhash
+from pagetrove.llm import simhash, span_hash
 from pagetrove.session import table
 
 
@@ -15,6 +15,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, folder), width=3, limit=3)
 
 
-QUERIES = [op1_simhash]
+def op2_span_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return span_hash.compare_with_next(_documents(spark, folder))
+
+
+QUERIES = [op1_simhash, op2_span_hash]
 
 ORACLES: dict[str, str] = {}
