@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import simhash, span_hash
+from pagetrove.llm import shard, simhash, span_hash
 from pagetrove.session import table
 
 
@@ -19,6 +19,10 @@ def op2_span_hash(spark: SparkSession, folder: str) -> DataFrame:
     return span_hash.compare_with_next(_documents(spark, folder))
 
 
-QUERIES = [op1_simhash, op2_span_hash]
+def op3_shard(spark: SparkSession, folder: str) -> DataFrame:
+    return shard.assign(_documents(spark, folder), shards=40)
+
+
+QUERIES = [op1_simhash, op2_span_hash, op3_shard]
 
 ORACLES: dict[str, str] = {}
