@@ -46,3 +46,11 @@ def word_bounds(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     ends = np.cumsum(sizes + 1) - 1
     return ends - sizes, ends
+
+
+def same_row(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
+    """Join ``docs`` with ``marks`` (doc_id, text_key, others) on doc_id, null included, and text."""
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    marks = marks.withColumnsRenamed({"doc_id": "__doc_id", "text_key": "__text_key"})
+    match = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__text_key"))
+    return keyed.join(marks, match, how).drop("__key", "__doc_id", "__text_key")

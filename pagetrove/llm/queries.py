@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import shard, simhash, span_hash
+from pagetrove.llm import rules, shard, simhash, span_hash
 from pagetrove.session import table
 
 
@@ -23,6 +23,13 @@ def op3_shard(spark: SparkSession, folder: str) -> DataFrame:
     return shard.assign(_documents(spark, folder), shards=40)
 
 
-QUERIES = [op1_simhash, op2_span_hash, op3_shard]
+def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels", "doc_id", "quality")
+    return rules.judge(_documents(spark, folder), labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept")
+
+
+QUERIES = [op1_simhash, op2_span_hash, op3_shard, op10_rules]
 
 ORACLES: dict[str, str] = {}
