@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import rules, shard, simhash, span_hash
+from pagetrove.llm import packing, rules, shard, simhash, span_hash
 from pagetrove.session import table
 
 
@@ -23,6 +23,10 @@ def op3_shard(spark: SparkSession, folder: str) -> DataFrame:
     return shard.assign(_documents(spark, folder), shards=40)
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_documents(spark, folder), capacity=2048, end_id=0)
+
+
 def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels", "doc_id", "quality")
     return rules.judge(_documents(spark, folder), labels).select(
@@ -30,6 +34,6 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept")
 
 
-QUERIES = [op1_simhash, op2_span_hash, op3_shard, op10_rules]
+QUERIES = [op1_simhash, op2_span_hash, op3_shard, op9_packing, op10_rules]
 
 ORACLES: dict[str, str] = {}

@@ -134,6 +134,10 @@ def _all_of(conditions, of):
     return test
 
 
+def _edges_below(value, edges):
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge < value))
+
+
 def _best(rows, edges, names):
     """The condition with the highest gain in information, or None, and what it leaves."""
     counts = rows.select("bad", F.posexplode("bins").alias("feature", "bin")).groupBy("feature", "bin").agg(
@@ -174,9 +178,7 @@ def learn(labelled: DataFrame, most_rules: int = 6, most_conditions: int = 4, ed
     edges = [sorted(set(found)) for found in table.approxQuantile(names, shares, 0.002)]
     if not all(edges):
         return []
-    bins = F.array(*[
-        F.size(F.filter(F.array(*map(F.lit, cuts)), lambda edge, name=name: edge < F.col(name)))
-        for name, cuts in zip(names, edges)])
+    bins = F.array(*[_edges_below(F.col(name), cuts) for name, cuts in zip(names, edges)])
     table = settled(table.withColumn("bins", bins), "rules-bins")
     plain = {name: F.col(name) for name in names}
     rules, left = [], table
