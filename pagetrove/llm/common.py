@@ -54,3 +54,19 @@ def same_row(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     marks = marks.withColumnsRenamed({"doc_id": "__doc_id", "text_key": "__text_key"})
     match = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__text_key"))
     return keyed.join(marks, match, how).drop("__key", "__doc_id", "__text_key")
+
+
+def even_cuts(df: DataFrame, column: str, parts: int) -> list[int]:
+    """At most ``parts - 1`` values that cut an integer column into parts of about equal row counts."""
+    shares = [i / parts for i in range(1, parts)]
+    return sorted({int(cut) for cut in df.approxQuantile(column, shares, 0.2 / parts)})
+
+
+def part_of(column: Column, cuts: list[int], least: int = 0) -> Column:
+    """Number of cuts that are not above the value: a binary search in the list, as an expression.
+    A null value is in part 0."""
+    if not cuts:
+        return F.lit(least)
+    middle = len(cuts) // 2
+    return F.when(column >= cuts[middle], part_of(column, cuts[middle + 1:], least + middle + 1)).otherwise(
+        part_of(column, cuts[:middle], least))

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import packing, rules, shard, simhash, span_hash
-from pagetrove.session import table
+from pagetrove.llm import packing, rans, rules, shard, simhash, span_hash
+from pagetrove.session import scratch_path, table
 
 
 def _documents(spark: SparkSession, folder: str, *more: str) -> DataFrame:
@@ -23,6 +23,14 @@ def op3_shard(spark: SparkSession, folder: str) -> DataFrame:
     return shard.assign(_documents(spark, folder), shards=40)
 
 
+def op7_rans(spark: SparkSession, folder: str) -> DataFrame:
+    """Written to files, and read back from them."""
+    path = scratch_path(spark, "op7")
+    rans.write(_documents(spark, folder), path, end_id=2)
+    return rans.read(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_documents(spark, folder), capacity=2048, end_id=0)
 
@@ -34,6 +42,6 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept")
 
 
-QUERIES = [op1_simhash, op2_span_hash, op3_shard, op9_packing, op10_rules]
+QUERIES = [op1_simhash, op2_span_hash, op3_shard, op7_rans, op9_packing, op10_rules]
 
 ORACLES: dict[str, str] = {}

@@ -9,10 +9,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetrove.llm.common import in_slices
+from pagetrove.llm.common import even_cuts, in_slices, part_of
 
 # Two primes below 2**31 and a base for each. With code points shifted by one, products
 # fit into 64 bits, and so do the sums of up to 2**32 terms.
@@ -169,15 +169,6 @@ def _in_order(batches):
              for values, kind in zip(zip(*done) if done else [()] * len(types), types)], names=names)
 
 
-def _part_of(column: Column, cuts: list[int], least: int = 0) -> Column:
-    """Number of cuts that are not above the value: a binary search in the list, as an expression."""
-    if not cuts:
-        return F.lit(least)
-    middle = len(cuts) // 2
-    return F.when(column >= cuts[middle], _part_of(column, cuts[middle + 1:], least + middle + 1)).otherwise(
-        _part_of(column, cuts[:middle], least))
-
-
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """For every row (doc_id, text, any others): the fingerprint of its text, that of its edited text,
     and their likeness, and the likeness to the next row's text.
@@ -192,10 +183,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     for each part.
     """
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / (4 * tasks) for i in range(1, 4 * tasks)]
-    cuts = sorted({int(cut) for cut in docs.approxQuantile("doc_id", shares, 0.05 / tasks)})
+    cuts = even_cuts(docs, "doc_id", 4 * tasks)
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "part", _part_of(F.col("doc_id"), cuts))
+        "part", part_of(F.col("doc_id"), cuts))
     tops = {row["part"]: row["top"] for row in keyed.groupBy("part").agg(
         F.max("doc_id").alias("top")).collect()}
     parts = sorted(tops, reverse=True)
