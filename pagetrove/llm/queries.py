@@ -1,9 +1,11 @@
 """Registered queries of the numbered operators, each over its whole table, and their SQL twins."""
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import packing, rans, rules, shard, simhash, span_hash
+from pagetrove.llm import automaton, packing, rans, rules, shard, simhash, span_hash
 from pagetrove.session import scratch_path, table
 
 
@@ -23,6 +25,18 @@ def op3_shard(spark: SparkSession, folder: str) -> DataFrame:
     return shard.assign(_documents(spark, folder), shards=40)
 
 
+_DIGEST = "n_words long, n_removed long, kept_sha256 string"
+
+
+def _digest(words, gone):
+    kept = words if gone is None else [word for word, out in zip(words, gone) if not out]
+    return len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
+
+
+def op6_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    return automaton.cut_repeats(_documents(spark, folder), _digest, _DIGEST, window=50)
+
+
 def op7_rans(spark: SparkSession, folder: str) -> DataFrame:
     """Written to files, and read back from them."""
     path = scratch_path(spark, "op7")
@@ -42,6 +56,25 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept")
 
 
-QUERIES = [op1_simhash, op2_span_hash, op3_shard, op7_rans, op9_packing, op10_rules]
-
-ORACLES: dict[str, str] = {}
+QUERIES = [op1_simhash, op2_span_hash, op3_shard, op6_automaton, op7_rans, op9_packing, op10_rules]
+
+ORACLES: dict[str, str] = {
+    "op6_automaton": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        placed AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS place FROM split),
+        windows AS (
+            SELECT doc_id, place, array_to_string(words[place:place + 49], ' ') AS content
+            FROM placed WHERE place + 49 <= len(words)),
+        firsts AS (SELECT content, min(doc_id) AS least FROM windows GROUP BY content),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(place, place + 50)) AS place
+            FROM windows JOIN firsts USING (content) WHERE least < doc_id),
+        kept AS (
+            SELECT doc_id, string_agg(words[place], ' ' ORDER BY place) AS text, count(*) AS n
+            FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)""",
+}
