@@ -5,7 +5,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import automaton, packing, rans, rules, shard, simhash, span_hash
+from pagetrove.llm import automaton, brown, packing, rans, rules, shard, simhash, span_hash
 from pagetrove.session import scratch_path, table
 
 
@@ -25,6 +25,10 @@ def op3_shard(spark: SparkSession, folder: str) -> DataFrame:
     return shard.assign(_documents(spark, folder), shards=40)
 
 
+def op4_brown(spark: SparkSession, folder: str) -> DataFrame:
+    return brown.score(_documents(spark, folder))
+
+
 _DIGEST = "n_words long, n_removed long, kept_sha256 string"
 
 
@@ -56,7 +60,7 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept")
 
 
-QUERIES = [op1_simhash, op2_span_hash, op3_shard, op6_automaton, op7_rans, op9_packing, op10_rules]
+QUERIES = [op1_simhash, op2_span_hash, op3_shard, op4_brown, op6_automaton, op7_rans, op9_packing, op10_rules]
 
 ORACLES: dict[str, str] = {
     "op6_automaton": r"""

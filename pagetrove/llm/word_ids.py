@@ -1,61 +1,104 @@
 """Token ids of whole texts by a vocabulary file of the tokenizers library, word by word.
 
-The vocabularies this is for drop white space and never join characters across it, so the ids of a text
+The vocabulary this is for drops white space and never joins characters across it, so the ids of a text
 are those of its words in a row. Ids of words seen before are kept, so that frequent words cost one
-lookup; new words are encoded by the library, many at a time.
+lookup. New words are encoded by the library, many at a time; if they have plain Latin letters only,
+they are first cut where the vocabulary's own pattern cuts them and put in lower case, as "Word," and
+"word" then share a piece that may be known.
 """
 
+import re
+from itertools import chain
+
 import numpy as np
 import public_tokenizers
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-KEPT = 400_000  # words; the store is emptied when it is full
-TOGETHER = 512  # new words of one call
-_MARK = b"\x1c"  # stands between new words; one id in a byte-level vocabulary
+KEPT = 300_000  # entries of the newer half of a store, which then becomes the older half
+TOGETHER = 512  # new pieces of one call
+_MARK = b"\x1c"  # stands between new pieces; one id in a byte-level vocabulary
+
+# Fixed value: the vocabulary's pattern, for lower-case words of printable ASCII and Latin-1 letters.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 
 _LOADED: dict[str, "WordIds"] = {}
 
 
+class _Store:
+    """Ids by text, of bounded size: what was not asked for lately is dropped."""
+
+    def __init__(self, kept: int):
+        self.kept = kept
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def missing(self, texts):
+        """Texts not known at all; known ones are brought into the newer half."""
+        unknown = texts.difference(self.new)
+        again = unknown.intersection(self.old)
+        self.new.update((text, self.old[text]) for text in again)
+        return unknown.difference(again)
+
+    def turn(self):
+        if len(self.new) > self.kept:
+            self.new, self.old = {}, self.new
+
+
 class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self._of([_MARK.decode()])[0]
-        self.known: dict[bytes, bytes] = {}
+        self.words, self.pieces = _Store(KEPT), _Store(KEPT)
 
     def _of(self, texts):
         return [np.array(e.ids, dtype="<u4")
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words):
-        plain = [w for w in words if _MARK not in w] if len(self.mark) == 1 else []
-        odd = words if len(self.mark) != 1 else [w for w in words if _MARK in w]
-        joined = (b" %s " % _MARK).join
+    def _encode_new(self, texts):
+        """Ids of each text without white space, by the library."""
+        mark = _MARK.decode()
+        made = {}
+        plain = [t for t in texts if mark not in t] if len(self.mark) == 1 else []
         for at in range(0, len(plain), TOGETHER):
             part = plain[at:at + TOGETHER]
-            ids = self._of([joined(part).decode(errors="replace")])[0]
+            ids = self._of([f" {mark} ".join(part)])[0]
             ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
             data, begin = ids.tobytes(), 0
-            for word, end in zip(part, (4 * ends).tolist()):
-                self.known[word] = data[begin:end]
+            for text, end in zip(part, (4 * ends).tolist()):
+                made[text] = data[begin:end]
                 begin = end + 4
-        for word, ids in zip(odd, self._of([w.decode(errors="replace") for w in odd])):
-            self.known[word] = ids.tobytes()
+        odd = [t for t in texts if t not in made]
+        made.update(zip(odd, (ids.tobytes() for ids in self._of(odd))))
+        return made
+
+    def _learn(self, words):
+        cut, direct = {}, []
+        for word in words:
+            text = word.decode(errors="replace")
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                cut[word] = _PIECE.findall(text.lower())
+            else:
+                direct.append((word, text))
+        pieces = set(chain.from_iterable(cut.values()))
+        self.pieces.new.update(self._encode_new(self.pieces.missing(pieces)))
+        known = self.pieces.new.__getitem__
+        for word, found in cut.items():
+            self.words.new[word] = b"".join(map(known, found))
+        made = self._encode_new([text for _, text in direct])
+        for word, text in direct:
+            self.words.new[word] = made[text]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each UTF-8 text, as little-endian unsigned 32-bit integers."""
-        if len(self.known) > KEPT:
-            self.known.clear()
-        made = []
-        for text in texts:
-            words = text.split()
-            try:
-                made.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                self._learn([w for w in dict.fromkeys(words) if w not in self.known])
-                made.append(b"".join(map(self.known.__getitem__, words)))
-        return made
+        self.words.turn()
+        self.pieces.turn()
+        split = [text.split() for text in texts]
+        self._learn(self.words.missing(set(chain.from_iterable(split))))
+        known = self.words.new.__getitem__
+        return [b"".join(map(known, words)) for words in split]
 
 
 def loaded(path: str = VOCABULARY) -> WordIds:
