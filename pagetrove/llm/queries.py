@@ -5,7 +5,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import automaton, brown, packing, rans, rules, shard, simhash, span_hash
+from pagetrove.llm import automaton, brown, edit_counts, mixing, packing, rans, rules, shard, simhash, span_hash
 from pagetrove.session import scratch_path, table
 
 
@@ -29,6 +29,23 @@ def op4_brown(spark: SparkSession, folder: str) -> DataFrame:
     return brown.score(_documents(spark, folder))
 
 
+def op5_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with three edits: some characters in the middle are taken out, the document's first
+    words are put in at a third, and its first characters are added at the end."""
+    docs = _documents(spark, folder)
+    size = F.char_length(F.coalesce("text", F.lit(""))).cast("long")
+
+    def edit(begin, end, new):
+        return F.struct(F.floor(begin).cast("long").alias("begin"), F.floor(end).cast("long").alias("end"),
+                        new.alias("new"))
+
+    edits = F.array(
+        edit(size / 2, size / 2 + 17, F.lit("")),
+        edit(size / 3, size / 3, F.substring_index(F.substring("text", 1, 200), " ", 3)),
+        edit(size + 200, size + 200, F.substring("text", 1, 30)))
+    return edit_counts.count_edits(docs.withColumn("edits", edits))
+
+
 _DIGEST = "n_words long, n_removed long, kept_sha256 string"
 
 
@@ -49,6 +66,27 @@ def op7_rans(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+# Shares of tokens that the languages are to have.
+MIX = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
+
+
+def trusted_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled table: texts that ``labels`` calls good and not toxic, with their language. The
+    language of all other documents is not relied on."""
+    labels = table(spark, folder, "labels", "doc_id", "quality", "toxic")
+    good = labels.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    return _documents(spark, folder, "lang").join(good, "doc_id", "left_semi").select(
+        "text", F.col("lang").alias("domain"))
+
+
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(_documents(spark, folder), trusted_languages(spark, folder), MIX)
+    best = F.array_max("posteriors")
+    return mixed.select(
+        "doc_id", "n_tokens", F.element_at("domains", F.array_position("posteriors", best).cast("int")).alias("domain"),
+        F.round(best, 9).alias("posterior"), F.round("rate", 9).alias("rate"), "copies")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_documents(spark, folder), capacity=2048, end_id=0)
 
@@ -60,7 +98,7 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept")
 
 
-QUERIES = [op1_simhash, op2_span_hash, op3_shard, op4_brown, op6_automaton, op7_rans, op9_packing, op10_rules]
+QUERIES = [op1_simhash, op2_span_hash, op3_shard, op4_brown, op5_edit_counts, op6_automaton, op7_rans, op8_mixing, op9_packing, op10_rules]
 
 ORACLES: dict[str, str] = {
     "op6_automaton": r"""
