@@ -153,19 +153,19 @@ def _anchor_rows(window, gram):
 
 def _finish_batch(batch, texts, masks, finish, types, names, keep):
     """The kept columns of a batch, and what ``finish`` makes of the texts with a mask."""
-    made = [finish(text.split(), mask) if text is not None else None for text, mask in zip(texts, masks)]
+    made = [finish(text, mask) if text is not None else None for text, mask in zip(texts, masks)]
     columns = [batch.column(name) for name in keep]
     for at, kind in enumerate(types):
         columns.append(pa.array([row and row[at] for row in made], type=kind))
     return columns, [*keep, *names]
 
 
-def cut_repeats(docs: DataFrame, finish: Callable[[list[bytes], np.ndarray | None], tuple], schema: str,
+def cut_repeats(docs: DataFrame, finish: Callable[[bytes, np.ndarray | None], tuple], schema: str,
                 window: int = WINDOW, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, any others) without the text, with the columns of ``schema``.
 
-    ``finish`` gets a text's words and a mask of those to remove (None if there are none), and returns
-    the new values. Windows are judged on the input. A null text has no words; rows without a doc_id
+    ``finish`` gets a text and a mask of those of its words that are to go (None if there are none), and
+    returns the new values. Windows are judged on the input. A null text has no words; rows without a doc_id
     neither lose words nor make others lose any; rows that share a doc_id don't cut each other, and
     rows that repeat are treated alike. An empty table gives no rows.
     """

@@ -49,7 +49,8 @@ def op5_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
 _DIGEST = "n_words long, n_removed long, kept_sha256 string"
 
 
-def _digest(words, gone):
+def _digest(text, gone):
+    words = text.split()
     kept = words if gone is None else [word for word, out in zip(words, gone) if not out]
     return len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
