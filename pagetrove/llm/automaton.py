@@ -175,9 +175,10 @@ def cut_repeats(docs: DataFrame, finish: Callable[[bytes, np.ndarray | None], tu
     keyed = docs.select(*others, F.xxhash64("text").alias("__key"), utf8("text").alias("__text"))
     rows = settled(keyed.select("doc_id", "__key", "__text").mapInArrow(
         _anchor_rows(window, gram), "anchor long, doc_id long, text_key long"), "anchors")
-    shared = rows.groupBy("anchor").agg(
+    # Written, so that the join below has two plain shuffles, of which Spark can split crowded parts.
+    shared = settled(rows.groupBy("anchor").agg(
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")
-    ).where("least < most").select("anchor", (F.col("n") > shard).alias("hot"))
+    ).where("least < most").select("anchor", (F.col("n") > shard).alias("hot")), "anchors-shared")
     hits = rows.join(shared, "anchor").groupBy("doc_id", "text_key").agg(
         F.collect_set(F.when(~F.col("hot"), F.col("anchor"))).alias("__cold"),
         F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("__hot"))
@@ -323,7 +324,8 @@ def _hot_spans(waiting, window, gram):
 
     found = waiting.where(F.size("__hot") > 0).select("doc_id", "__key", "__hot", "__packed").mapInArrow(
         windows, "w1 long, w2 long, doc_id long, text_key long, begin long")
-    least = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(
-        "least < most").drop("most")
+    least = settled(found.groupBy("w1", "w2").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(
+        "least < most").drop("most"), "windows-shared")
     later = found.join(least, ["w1", "w2"]).where(F.col("doc_id") > F.col("least"))
     return later.select("doc_id", "text_key", "begin", (F.col("begin") + window).alias("end"))

@@ -298,7 +298,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, limit: int = 3, pieces: int
     # Codes without a link are their own root.
     rooted = codes.join(roots.withColumnRenamed("node", "code"), "code", "left").select(
         "code", "least", F.coalesce("root", "code").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written, so that the join has two plain shuffles, of which Spark can split a large component.
+    named = settled(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-named")
     by_code = rooted.join(named, "root").select("code", "component_id")
     return prints.join(by_code, "code").select(
         "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
