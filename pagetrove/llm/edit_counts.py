@@ -23,6 +23,7 @@ PATTERN = regex.compile(public_tokenizers.PATTERN)
 BLOCK = 32  # pre-tokens of a block
 LOOK = 2  # pre-tokens before an edit, and characters behind a cut, that the pattern may look at
 KEPT = 300_000  # pre-tokens whose counts are kept
+TOGETHER = 64  # texts whose new pre-tokens are encoded in one call
 
 _LOADED: dict[str, "PieceCounts"] = {}
 
@@ -37,13 +38,19 @@ class PieceCounts:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, int] = {}
 
-    def __call__(self, pieces: list[str]) -> list[int]:
+    def learn(self, pieces: set[str]) -> None:
+        new = list(pieces.difference(self.known))
+        if new:
+            made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            self.known.update(zip(new, map(len, made)))
+
+    def forget(self) -> None:
         if len(self.known) > KEPT:
             self.known.clear()
-        new = list(set(pieces).difference(self.known))
-        for piece, made in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = len(made.ids)
-        return [self.known[piece] for piece in pieces]
+
+    def __call__(self, pieces: list[str]) -> list[int]:
+        self.learn(set(pieces))
+        return list(map(self.known.__getitem__, pieces))
 
 
 def loaded(path: str = VOCABULARY) -> PieceCounts:
@@ -60,10 +67,10 @@ class TokenTree:
     root, nodes 2 i and 2 i + 1 are below node i.
     """
 
-    def __init__(self, text: str, counts: PieceCounts):
+    def __init__(self, text: str, counts: PieceCounts, pieces: list[str] | None = None):
         self.counts = counts
         self.encoded = 0  # pre-tokens encoded so far
-        pieces = PATTERN.findall(text)
+        pieces = PATTERN.findall(text) if pieces is None else pieces
         numbers = self._count(pieces)
         self.blocks = [(pieces[i:i + BLOCK], numbers[i:i + BLOCK]) for i in range(0, len(pieces), BLOCK)]
         self._build()
@@ -189,10 +196,13 @@ def count_edits(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     def work(batches):
         counts = loaded(vocabulary)
-        for ids, texts, edits in in_slices(batches, 256):
+        for ids, texts, edits in in_slices(batches, TOGETHER):
             rows = []
-            for doc_id, text, changes in zip(ids, texts, edits):
-                tree = TokenTree(text or "", counts)
+            cut = [PATTERN.findall(text or "") for text in texts]
+            counts.forget()
+            counts.learn(set().union(*cut))  # many new pre-tokens in one call
+            for doc_id, text, changes, pieces in zip(ids, texts, edits, cut):
+                tree = TokenTree(text or "", counts, pieces)
                 before, first = tree.total, tree.encoded
                 done = 0
                 for change in changes or ():
