@@ -12,6 +12,11 @@ VECTOR = T.ArrayType(T.FloatType(), containsNull=False)
 # in which a machine adds up a dot product. Equal rounded scores are ranked by id.
 SCORE_DIGITS = 6
 
+# A squared distance below this share of the squares it is made of is taken from the differences.
+CANCELLED = 1e-3
+# Bound on a matrix inside a task, in elements.
+ELEMENTS = 4 << 20
+
 # Metric names, and whether a greater value means a closer vector.
 METRICS = {"COSINE": True, "IP": True, "L2": False}
 
@@ -94,8 +99,18 @@ def unit_rows(values: np.ndarray) -> np.ndarray:
 def score_matrix(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     """Rounded score of every row with every query, as ``similarity`` defines it."""
     if metric == "L2":
-        squares = (rows * rows).sum(axis=1)[:, None] + (queries * queries).sum(axis=1)[None, :]
-        scores = np.maximum(squares - 2.0 * (rows @ queries.T), 0.0)
+        # A common offset is taken off first, and what is small against its parts is worked out from
+        # the differences, because the subtraction below would lose its digits.
+        offset = queries.mean(axis=0) if len(queries) else 0.0
+        near, far = rows - offset, queries - offset
+        squares = (near * near).sum(axis=1)[:, None] + (far * far).sum(axis=1)[None, :]
+        scores = np.maximum(squares - 2.0 * (near @ far.T), 0.0)
+        row, query = np.nonzero(scores < CANCELLED * squares)
+        step = max(1, ELEMENTS // max(1, rows.shape[1]))
+        for at in range(0, len(row), step):
+            i, j = row[at:at + step], query[at:at + step]
+            difference = rows[i] - queries[j]
+            scores[i, j] = (difference * difference).sum(axis=1)
     elif metric == "IP":
         scores = rows @ queries.T
     else:

@@ -39,29 +39,41 @@ def token_windows(words: Column, size: int, overlap: int) -> Column:
     return F.transform(starts, lambda i: F.slice(words, i + 1, F.lit(size)))
 
 
-def line_packs(lines: Column, size: int) -> Column:
-    """Consecutive lines packed greedily into texts of at most ``size`` characters, no overlap.
+def char_windows(text: Column, size: int, overlap: int) -> Column:
+    """Windows of ``size`` characters; each starts ``size - overlap`` characters after the one before.
+    A blank text has none."""
+    starts = F.when(
+        F.length(F.trim(text)) > 0, F.sequence(F.lit(0), F.length(text) - 1, F.lit(size - overlap))
+    ).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.substring(text, i + 1, F.lit(size)))
+
+
+def _pack_lines(text, size):
+    """Consecutive lines packed greedily, in one walk over the text."""
+    packs, held, filled = [], [], 0
+    for line in text.split("\n"):
+        if held and filled + 1 + len(line) > size:
+            packs.append("\n".join(held))
+            held, filled = [], 0
+        filled += len(line) + (1 if held else 0)
+        held.append(line)
+    packs.append("\n".join(held))
+    return [pack for pack in packs if pack.strip()]
+
+
+def line_packs(size: int):
+    """Function of a text column: its lines packed greedily into texts of at most ``size`` characters.
 
-    A line longer than ``size`` makes a text of its own.
+    There is no overlap, a line longer than ``size`` makes a text of its own, and blank texts are
+    left out.
     """
-    empty = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open")
-    )
-
-    def add(state, line):
-        fits = F.length(state["open"]) + 1 + F.length(line) <= size
-        longer = F.struct(state["done"].alias("done"),
-                          F.concat(state["open"], F.lit("\n"), line).alias("open"))
-        fresh = F.struct(F.concat(state["done"], F.array(state["open"])).alias("done"),
-                         line.alias("open"))
-        first = F.struct(state["done"].alias("done"), line.alias("open"))
-        return F.when(state["open"].isNull(), first).when(fits, longer).otherwise(fresh)
-
-    return F.aggregate(
-        lines, empty, add,
-        lambda state: F.when(state["open"].isNull(), state["done"])
-        .otherwise(F.concat(state["done"], F.array(state["open"]))),
-    )
+
+    @F.arrow_udf(STRINGS)
+    def pack(texts: pa.Array) -> pa.Array:
+        return pa.array([_pack_lines(text, size) if text else [] for text in texts.to_pylist()],
+                        pa.list_(pa.string()))
+
+    return pack
 
 
 def _recursive(size, overlap):
@@ -133,7 +145,14 @@ def chunk(pages: DataFrame, *args, text_col: str = "page_content", **kwargs) ->
 
 
 def chunk_lines(pages: DataFrame, size: int = CHUNK_SIZE, text_col: str = "page_content") -> DataFrame:
-    """Chunk rows made of whole lines, without overlap."""
+    """Chunk rows made of whole lines, without overlap. Blank pages give none."""
     check_chunk_parameters(size, 0)
-    packs = line_packs(F.split(F.col(text_col), "\n"), size)
-    return explode_chunks(pages.withColumn("splits", packs), text_col)
+    return explode_chunks(pages.withColumn("splits", line_packs(size)(text_col)), text_col)
+
+
+def chunk_characters(
+    pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, text_col: str = "page_content",
+) -> DataFrame:
+    """Chunk rows of a fixed number of characters."""
+    check_chunk_parameters(size, overlap)
+    return explode_chunks(pages.withColumn("splits", char_windows(F.col(text_col), size, overlap)), text_col)

@@ -16,11 +16,15 @@ HASH_DIM = 256
 def _counts_to_unit_vectors(dim):
     @F.arrow_udf(V.VECTOR)
     def dense(buckets: pa.Array) -> pa.Array:
-        rows = len(buckets)
-        lengths = np.diff(buckets.offsets.to_numpy())
-        cells = np.repeat(np.arange(rows), lengths) * dim + buckets.flatten().to_numpy()
-        counts = np.bincount(cells, minlength=rows * dim).reshape(rows, dim)
-        return V.list_array(V.unit_rows(counts.astype(np.float64)))
+        parts = []
+        for at in range(0, max(1, len(buckets)), max(1, V.ELEMENTS // dim)):
+            part = buckets.slice(at, max(1, V.ELEMENTS // dim))
+            rows = len(part)
+            lengths = np.diff(part.offsets.to_numpy())
+            cells = np.repeat(np.arange(rows), lengths) * dim + part.flatten().to_numpy()
+            counts = np.bincount(cells, minlength=rows * dim).reshape(rows, dim)
+            parts.append(V.list_array(V.unit_rows(counts.astype(np.float64))))
+        return pa.concat_arrays(parts)
 
     return dense
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from pagetrove.functions import vectors as V
 from pagetrove.operators.search import LIMIT, search
+from pagetrove.session import settled
 
 # Default number of cells, and of cells probed per query.
 NLIST = 1024
@@ -28,24 +29,26 @@ CENTROIDS = T.StructType([
 
 def train_centroids(
     vectors: DataFrame, nlist: int = NLIST, anns_field: str = "embeddings",
-    max_iter: int = 20, seed: int = 1, fraction: float | None = None,
+    max_iter: int = 20, seed: int = 1,
 ) -> DataFrame:
     """Centroids of spherical k-means over all vectors: rows of (cell, centroid).
 
-    k-means goes over its input once per iteration. ``fraction`` lets it learn from a share of a very
-    large collection; the index holds every row all the same.
-    Zero vectors have no direction and are left out of the training, not of the index. There are at
-    most as many cells as vectors.
+    Zero vectors have no direction, and others have elements that are not finite; both are left out
+    of the training, not of the index. There are at most as many cells as vectors to train on, and
+    one for a collection without any.
     """
-    points = vectors.where(F.exists(anns_field, lambda x: x != 0)).select(
-        array_to_vector(F.col(anns_field).cast("array<double>")).alias("features")
-    )
-    if fraction is not None:
-        points = points.sample(fraction, seed)
+    usable = F.exists(anns_field, lambda x: x != 0) & F.forall(anns_field, lambda x: F.abs(x) < float("inf"))
+    # k-means goes over its input once per iteration.
+    points = settled(vectors.where(usable).select(F.col(anns_field).cast("array<double>").alias("v")), "points")
     # Only tells whether there are fewer vectors than cells.
     cells = min(nlist, points.limit(nlist).count())
     if cells < 2:
-        raise ValueError("an index needs at least two vectors that are not zero")
+        known = points.first() or vectors.where(F.col(anns_field).isNotNull()).select(
+            F.transform(anns_field, lambda x: F.lit(0.0)).alias("v")).first()
+        if known is None:
+            raise ValueError("an index needs at least one vector")
+        return vectors.sparkSession.createDataFrame([(0, list(known["v"]))], CENTROIDS)
+    points = points.select(array_to_vector("v").alias("features"))
     model = KMeans(k=cells, distanceMeasure="cosine", maxIter=max_iter, seed=seed).fit(points)
     rows = [(i, [float(x) for x in center]) for i, center in enumerate(model.clusterCenters())]
     return vectors.sparkSession.createDataFrame(rows, CENTROIDS)
@@ -68,13 +71,15 @@ def mean_centroids(vectors: DataFrame, label: str, anns_field: str = "embeddings
 
 
 def _centroid_matrix(centroids: DataFrame):
-    rows = centroids.select("cell", "centroid").orderBy("cell").limit(CENTROID_BYTES // 64 + 1)
-    found = rows.toArrow()
-    if found.num_rows == 0:
+    first = centroids.select(F.size("centroid").alias("dim")).first()
+    if first is None:
         raise ValueError("there are no centroids")
-    matrix = V.matrix(found.column("centroid"))
-    if matrix.nbytes > CENTROID_BYTES:
+    most = CENTROID_BYTES // (8 * max(1, first["dim"]))
+    # One more than fits tells whether there are too many.
+    found = centroids.select("cell", "centroid").orderBy("cell").limit(most + 1).toArrow()
+    if found.num_rows > most:
         raise ValueError("the centroids are too large to be broadcast; use fewer cells")
+    matrix = V.matrix(found.column("centroid"))
     return found.column("cell").to_numpy(), matrix
 
 
@@ -93,18 +98,20 @@ def assign_cells(
     @F.arrow_udf(kind)
     def nearest_cells(vectors: pa.Array) -> pa.Array:
         cells, matrix = shared.value
-        known = np.flatnonzero(vectors.is_valid().to_numpy(zero_copy_only=False))
-        scores = V.score_matrix(V.matrix(vectors.drop_null(), matrix.shape[1]), matrix, "COSINE")
+        valid = vectors.is_valid().to_numpy(zero_copy_only=False)
+        rows = V.matrix(vectors.drop_null(), matrix.shape[1])
+        width = 1 if nprobe is None else min(nprobe, len(cells))
+        best = np.zeros((len(vectors), width), dtype=np.int32)
+        number, step = np.flatnonzero(valid), max(1, V.ELEMENTS // len(cells))
+        for at in range(0, len(rows), step):
+            scores = V.score_matrix(rows[at:at + step], matrix, "COSINE")
+            order = scores.argmax(axis=1)[:, None] if nprobe is None else np.argsort(
+                -scores, axis=1, kind="stable")[:, :width]
+            best[number[at:at + step]] = cells[order]
         if nprobe is None:
-            best = [None] * len(vectors)
-            for row, cell in zip(known, cells[scores.argmax(axis=1)] if len(known) else []):
-                best[row] = int(cell)
-            return pa.array(best, pa.int32())
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :nprobe]
-        lists = [None] * len(vectors)
-        for row, chosen in zip(known, order):
-            lists[row] = cells[chosen].tolist()
-        return pa.array(lists, pa.list_(pa.int32()))
+            return pa.array(best[:, 0], mask=~valid)
+        offsets = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * width)
+        return pa.ListArray.from_arrays(offsets, pa.array(best.ravel()), mask=pa.array(~valid))
 
     return df.withColumn(out, nearest_cells(F.col(anns_field)))
 
@@ -129,6 +136,13 @@ def build_index(
     return path
 
 
+def append_to_index(rows: DataFrame, path: str, anns_field: str = "embeddings") -> None:
+    """Put more rows into an index, into the cells of its stored centroids."""
+    centroids = rows.sparkSession.read.parquet(f"{path}/centroids")
+    placed = assign_cells(rows, centroids, anns_field)
+    placed.hint("rebalance", "cell").write.mode("append").partitionBy("cell").parquet(f"{path}/cells")
+
+
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/cells")
 

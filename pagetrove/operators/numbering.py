@@ -37,10 +37,17 @@ def _rows_before(counts, group, width, step, levels):
     earlier = Window.partitionBy(group, "__wide").orderBy("__range").rowsBetween(
         Window.unboundedPreceding, -1)
     inside = placed.withColumn("__inside", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
-    return inside.join(above, [group, "__wide"]).select(
+    return _same_group(inside, above, group, "__wide").select(
         group, "__range", (F.col("__inside") + F.col("__above")).alias("__before"))
 
 
+def _same_group(left, right, group, key):
+    """Join on group and key, where a null group is a group of its own."""
+    right = right.withColumnsRenamed({group: "__its_group", key: "__its_key"})
+    match = F.col(group).eqNullSafe(F.col("__its_group")) & (F.col(key) == F.col("__its_key"))
+    return left.join(right, match).drop("__its_group", "__its_key")
+
+
 def number_within(
     df: DataFrame,
     group: str,
@@ -55,9 +62,12 @@ def number_within(
     A group may hold most of the table, so it is numbered in key ranges of ``width``: a range's rows
     are numbered on their own, then shifted by the row count of the group's earlier ranges. If the
     key is unique in its group, no task has to sort more than ``width`` rows of a group, however the
-    keys are spread. Group and key must not be null.
+    keys are spread. Rows with a null group are one more group; a null key is an error.
     """
-    ends = df.agg(F.min(key).alias("least"), F.max(key).alias("most")).first()
+    ends = df.agg(F.min(key).alias("least"), F.max(key).alias("most"),
+                  F.count_if(F.col(key).isNull()).alias("nulls")).first()
+    if ends["nulls"]:
+        raise ValueError(f"{ends['nulls']} rows have no {key!r} to number them by")
     ranges = 1 if ends["least"] is None else (ends["most"] - ends["least"]) // width + 2
     levels = 1
     while ranges > width ** levels:
@@ -69,7 +79,7 @@ def number_within(
     numbered = keyed.withColumn("__local", F.row_number().over(in_range))
     position = F.col("__local") + F.col("__before") + F.lit(start - 1)
     return (
-        numbered.join(before, [group, "__range"])
+        _same_group(numbered, before, group, "__range")
         .withColumn(out, position.cast("long"))
         .select(*df.columns, out)
     )

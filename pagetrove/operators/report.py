@@ -21,11 +21,12 @@ def document_summary(split_pages: DataFrame, method: str) -> DataFrame:
     """File path, page count, chunk count and method per source, from pages that carry ``splits``.
 
     Both counts come from one pass and one partial aggregation; no join of pages with chunks is
-    needed. The path of a document without chunks is null.
+    needed. The path of a document without chunks is null. A row with a null page stands for a
+    document without pages.
     """
     counts = split_pages.groupBy("source").agg(
-        F.count("*").alias("page_count"),
-        F.sum(F.coalesce(F.size("splits"), F.lit(0)).cast("long")).alias("chunk_counts"),
+        F.count("page").alias("page_count"),
+        F.sum(F.greatest(F.coalesce(F.size("splits"), F.lit(0)), F.lit(0)).cast("long")).alias("chunk_counts"),
     )
     return counts.select(
         F.when(F.col("chunk_counts") > 0, F.col("source")).alias("file_path"),
@@ -36,7 +37,8 @@ def document_summary(split_pages: DataFrame, method: str) -> DataFrame:
 def summary_of(pages: DataFrame, chunks: DataFrame, method: str) -> DataFrame:
     """The same summary where pages and chunks are tables of their own; one row per source on both
     sides of the join."""
-    counts = page_counts(pages).join(chunk_counts(chunks), "source", "left")
+    chunked = chunk_counts(chunks).withColumnRenamed("source", "__source")
+    counts = page_counts(pages).join(chunked, F.col("source").eqNullSafe(F.col("__source")), "left")
     chunked = F.coalesce("chunk_counts", F.lit(0))
     return counts.select(
         F.when(chunked > 0, F.col("source")).alias("file_path"),

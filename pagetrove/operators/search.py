@@ -10,10 +10,12 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pagetrove.functions import vectors as V
 from pagetrove.operators.numbering import ids_as_written
@@ -27,6 +29,9 @@ THRESHOLD = 0.70
 BLOCK_BYTES = 64 << 20
 # Bound on the hits that a task keeps for one block, so that a large k makes blocks smaller.
 TASK_HITS = 2_000_000
+# Above this k the tasks' hits of a query are merged in so many parts first.
+PART_HITS = 1000
+MERGE_PARTS = 64
 # Queries fetched to learn their number and dimension; most searches have no more.
 FIRST_QUERIES = 1024
 # Bound on one score matrix inside a task, in elements.
@@ -106,26 +111,22 @@ def _task(block, k, metric, threshold, ids, vector, cell, schema):
             keys = pa.Table.from_batches([batch]).select(ids)
             if cell is None:
                 best.offer(rows, keys)
-                continue
-            cells = batch.column(cell).to_numpy()
-            for value in np.unique(cells):
-                at = np.flatnonzero(cells == value)
-                members = probes.get(int(value), np.zeros(0, dtype=np.int64))
-                best.offer(rows[at], keys.take(pa.array(at)), members)
+            else:
+                cells = batch.column(cell).to_numpy()
+                for value in np.unique(cells):
+                    at = np.flatnonzero(cells == value)
+                    members = probes.get(int(value), np.zeros(0, dtype=np.int64))
+                    best.offer(rows[at], keys.take(pa.array(at)), members)
+            # With a very large k a task hands on what it has, and Spark ranks it.
+            if len(best.hits) > TASK_HITS:
+                yield best.batch(query_ids, schema)
+                best = _Best(queries, k, metric, threshold, ids)
         if len(best.hits):
             yield best.batch(query_ids, schema)
 
     return run
 
 
-def _arrow_schema(fields):
-    names = {
-        "long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(),
-        "tinyint": pa.int8(), "string": pa.string(), "double": pa.float64(),
-    }
-    return pa.schema([(f.name, names[f.dataType.simpleString()]) for f in fields])
-
-
 def _search_block(corpus, block, k, metric, threshold, ids, vector, cell, query_id):
     """Best k corpus rows per query of one block (query ids, matrix, probing queries by cell)."""
     spark = corpus.sparkSession
@@ -133,15 +134,22 @@ def _search_block(corpus, block, k, metric, threshold, ids, vector, cell, query_
               T.StructField("score", T.DoubleType())]
     rows = _in_cells(corpus, cell, block)
     task = _task(spark.sparkContext.broadcast(block), k, metric, threshold, list(ids), vector, cell,
-                 _arrow_schema(fields))
+                 to_arrow_schema(T.StructType(fields)))
     needed = rows.select(*ids, vector, *([cell] if cell else []))
     partial = needed.mapInArrow(task, T.StructType(fields))
     best = F.col("score").desc() if V.METRICS[metric] else F.col("score").asc()
+    if k > PART_HITS:
+        # One task would get tasks x k rows of a query, so they are ranked in parts before.
+        parts = Window.partitionBy(query_id.name, "__part").orderBy(best, *ids)
+        partial = partial.withColumn("__part", F.pmod(F.xxhash64(*ids), F.lit(MERGE_PARTS))).withColumn(
+            "rank", F.row_number().over(parts)).where(F.col("rank") <= k).drop("__part", "rank")
     ranks = Window.partitionBy(query_id.name).orderBy(best, *ids)
     return partial.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
 
 
 def _to_block(found, query_id, vector, cells):
+    if len(pc.unique(found.column(query_id))) < found.num_rows:
+        raise ValueError(f"queries must differ in {query_id!r}")
     matrix = V.matrix(found.column(vector))
     probes = {}
     if cells:
@@ -187,8 +195,8 @@ def search(
     found = wanted.limit(FIRST_QUERIES + 1).toArrow()
     if not found.num_rows:
         return _with_fields(_no_hits(rows, args), rows, ids, output_fields, query_id, 0)
-    dim = len(found.column(query_field)[0])
-    cap = max(1, min(block_bytes // (8 * dim), TASK_HITS // k))
+    width = len(found.column(query_field)[0]) + (len(found.column(query_cells)[0]) if query_cells else 0)
+    cap = max(1, min(block_bytes // (8 * width), TASK_HITS // k))
     if found.num_rows > FIRST_QUERIES and cap > FIRST_QUERIES:
         found = wanted.limit(cap + 1).toArrow()
     if found.num_rows <= cap:
@@ -215,11 +223,16 @@ def _search_in_blocks(rows, wanted, cap, columns, args):
     """One pass over the corpus per block of queries. Queries and hits go through written tables,
     so neither the driver nor a task ever holds more than one block."""
     spark = rows.sparkSession
+    _, _, _, ids, vector, cell, query_id = args
     staged, results = scratch_path(spark, "queries"), scratch_path(spark, "hits")
     block = F.floor(F.col("__number") / cap).cast("int")
     (ids_as_written(wanted, "__number", start=0).withColumn("__block", block)
      .repartition("__block").write.partitionBy("__block").parquet(staged))
     queries = spark.read.parquet(staged)
+    if not queries.groupBy(query_id.name).count().where("count > 1").isEmpty():
+        raise ValueError(f"queries must differ in {query_id.name!r}")
+    # Every block reads the corpus, which may have to be cut up and embedded first.
+    rows = settled(rows.select(*ids, vector, *([cell] if cell else [])), "corpus")
     for number in range(-(-queries.count() // cap)):
         found = queries.where(F.col("__block") == number).select(*wanted.columns).toArrow()
         hits = _search_block(rows, _to_block(found, *columns), *args)
@@ -268,14 +281,11 @@ def nearest(
     threshold: float | None = None,
     output_fields: Sequence[str] = (),
 ) -> DataFrame:
-    """``search`` for one given vector, inside the JVM: a top-k over a score column."""
-    better = V.METRICS[V.check_metric(metric)]
-    rows = corpus.where(expr) if expr else corpus
-    target = F.array(*[F.lit(float(x)) for x in vector])
-    scored = rows.where(F.col(anns_field).isNotNull()).select(
-        *ids, *output_fields, V.similarity(F.col(anns_field), target, metric).alias("score")
-    ).where(F.abs("score") < float("inf"))
-    if threshold is not None:
-        scored = scored.where(F.col("score") > threshold if better else F.col("score") < threshold)
-    order = F.col("score").desc() if better else F.col("score").asc()
-    return scored.orderBy(order, *ids).limit(k)
+    """``search`` for one given vector, in the order of the rank; output fields are fetched for the hits
+    alone."""
+    query = corpus.sparkSession.createDataFrame(
+        [(0, [float(x) for x in vector])], "__query int, __vector array<double>")
+    hits = search(
+        corpus, query, k, metric=metric, anns_field=anns_field, ids=ids, expr=expr, threshold=threshold,
+        output_fields=output_fields, query_id="__query", query_field="__vector")
+    return hits.orderBy("rank").select(*ids, *output_fields, "score")

@@ -233,7 +233,9 @@ def _collection_rows(spark, sf):
 
 
 def _collection_facts(df):
-    total = F.aggregate("embeddings", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    # Each element counts with its place, so that a permuted vector shows.
+    weighted = F.transform("embeddings", lambda x, i: x.cast("double") * (i + 1))
+    total = F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x)
     return df.select("id", "page_content", "metadata", F.size("embeddings").alias("dim"),
                      F.round(total, 5).alias("total"))
 
@@ -312,9 +314,35 @@ def file_scan(spark, sf):
     )
 
 
+def chunk_summary_files(spark, sf):
+    """Summary over parsed documents, of which those with fewer than 400 characters have no pages."""
+    source = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
+    pages = F.when(F.length("text") < 400, F.array()).otherwise(F.split("text", "\n"))
+    docs = F.transform(pages, lambda line: F.struct(line.alias("page_content"), F.lit("{}").alias("metadata")))
+    parsed = _documents(spark, sf).select(source.alias("source"), docs.alias("loaded_docs"))
+    split = chunking.with_splits(files.page_rows(parsed, keep_empty=True), SIZE, OVERLAP, chunking.TOKENS)
+    return report.document_summary(split, "lines").groupBy("page_count", "chunk_counts").agg(
+        F.count("*").alias("documents"), F.count("file_path").alias("with_path"))
+
+
+def chunk_char_window(spark, sf):
+    return _chunk_rows(chunking.chunk_characters(_pages(spark, sf), 1000, 100))
+
+
 # Search
 
 
+def collection_append_search(spark, sf):
+    """A collection with an index, to which the mean vectors are added, and hits by the index."""
+    path = scratch_path(spark, "index")
+    rows = _collection_rows(spark, sf)
+    index.build_index(rows, path, _means(spark, sf))
+    index.append_to_index(_means(spark, sf).select(
+        (F.lit(-1) - F.col("cell")).cast("long").alias("id"), F.lit("mean").alias("page_content"),
+        F.lit("{}").alias("metadata"), F.col("centroid").cast("array<float>").alias("embeddings")), path)
+    return index.search_index(spark, path, _label_queries(spark, sf), 3, 100, output_fields=["page_content"])
+
+
 def _knn(spark, sf, k=3, **options):
     return nn.search(_corpus(spark, sf), _label_queries(spark, sf), k, ids=("vec_id",), **options)
 
@@ -327,6 +355,15 @@ def knn_l2(spark, sf):
     return _knn(spark, sf, metric="L2")
 
 
+def knn_l2_shifted(spark, sf):
+    """The vectors, ten million away from the origin in each direction."""
+    def shifted(df):
+        return df.withColumn("moved", F.transform("embeddings", lambda x: x.cast("double") + 1e7))
+
+    return nn.search(shifted(_corpus(spark, sf)), shifted(_label_queries(spark, sf)), 3, metric="L2",
+                     ids=("vec_id",), anns_field="moved", query_field="moved")
+
+
 def knn_ip(spark, sf):
     return _knn(spark, sf, metric="IP")
 
@@ -408,9 +445,9 @@ def stored_search(spark, sf):
 QUERIES = [
     page_table, page_count_by_source, suffix_filter, html_pages, clean_text, clean_text_urls,
     clean_text_array, file_names, metadata_filter, page_report, chunk_report, report_files,
-    chunk_summary, chunk_summary_join, chunk_token_window, chunk_line_pack, chunk_recursive,
+    chunk_summary, chunk_summary_join, chunk_summary_files, chunk_char_window, chunk_token_window, chunk_line_pack, chunk_recursive,
     tokenizer_chunks, dense_ids, hash_embed, hash_embed_arrow, model_embed, collection_roundtrip,
     collection_append, collection_violations, vector_dim, csv_roundtrip, summary_csv, file_scan,
-    knn_cosine, knn_l2, knn_ip, knn_filtered, knn_threshold, knn_l2_threshold, knn_output_fields,
+    collection_append_search, knn_cosine, knn_l2, knn_l2_shifted, knn_ip, knn_filtered, knn_threshold, knn_l2_threshold, knn_output_fields,
     knn_single, ivf_assign, ivf_search, ivf_kmeans, text_search, stored_search,
 ]

@@ -125,8 +125,12 @@ SCORES = {
 }
 
 
+SCORES["L2 shifted"] = SCORES["L2"].replace("zip(q,", "zip(list_transform(q, lambda x: x + 1e7),").replace(
+    "embedding::DOUBLE[]", "list_transform(embedding::DOUBLE[], lambda x: x + 1e7)")
+
+
 def knn(k=3, metric="COSINE", where="true", keep="true", extra=""):
-    order = "score" if metric == "L2" else "score DESC"
+    order = "score" if metric.startswith("L2") else "score DESC"
     return f"""
 WITH {MEANS},
 scored AS (
@@ -211,6 +215,22 @@ WITH RECURSIVE {RECURSIVE}
 SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY a) - 1)::INT AS chunk_idx,
        len(chunk)::INT AS n_chars, md5(chunk) AS chunk_md5
 FROM recursive_chunks WHERE chunk <> ''""",
+    "chunk_char_window": """
+WITH starts AS (SELECT doc_id, text, unnest(range(0, len(text), 900)) AS s FROM documents WHERE trim(text) <> ''),
+cut AS (SELECT doc_id, (s // 900)::INT AS chunk_idx, substr(text, s + 1, 1000) AS chunk FROM starts)
+SELECT doc_id, chunk_idx, len(chunk)::INT AS n_chars, md5(chunk) AS chunk_md5 FROM cut""",
+    "chunk_summary_files": f"""
+WITH docs AS (
+  SELECT doc_id, CASE WHEN len(text) < 400 THEN [] ELSE string_split(text, chr(10)) END AS pages
+  FROM documents),
+page AS (SELECT doc_id, unnest(pages) AS text FROM docs),
+counts AS (
+  SELECT doc_id, count(*) AS pages,
+         sum(ceil(len(list_filter(string_split({clean('text')}, ' '), lambda w: w <> '')) / 180.0)) AS chunks
+  FROM page GROUP BY doc_id)
+SELECT coalesce(counts.pages, 0) AS page_count, coalesce(chunks, 0)::BIGINT AS chunk_counts,
+       count(*) AS documents, count(*) FILTER (coalesce(chunks, 0) > 0) AS with_path
+FROM docs LEFT JOIN counts USING (doc_id) GROUP BY 1, 2""",
     "tokenizer_chunks": """
 WITH pieces AS (SELECT doc_id, regexp_extract_all(text, ' ?[^ ]+') AS tk FROM documents),
 starts AS (SELECT doc_id, tk, unnest(range(0, len(tk), 180)) AS s FROM pieces),
@@ -235,17 +255,17 @@ FROM documents""",
     "collection_roundtrip": """
 SELECT vec_id AS id, 'label ' || label AS page_content,
        '{"source":"embeddings","page":' || vec_id || '}' AS metadata, len(embedding)::INT AS dim,
-       round(list_sum(embedding::DOUBLE[]), 5) AS total
+       round(list_sum(list_transform(embedding::DOUBLE[], lambda x, i: x * i)), 5) AS total
 FROM embeddings""",
     "collection_append": f"""
 WITH {MEANS}
 SELECT vec_id AS id, 'label ' || label AS page_content,
        '{{"source":"embeddings","page":' || vec_id || '}}' AS metadata, len(embedding)::INT AS dim,
-       round(list_sum(embedding::DOUBLE[]), 5) AS total
+       round(list_sum(list_transform(embedding::DOUBLE[], lambda x, i: x * i)), 5) AS total
 FROM embeddings
 UNION ALL
 SELECT (-1 - query_id)::BIGINT, 'mean', '{{"source":"means","page":' || query_id || '}}', len(q)::INT,
-       round(list_sum(q::FLOAT[]::DOUBLE[]), 5)
+       round(list_sum(list_transform(q::FLOAT[]::DOUBLE[], lambda x, i: x * i)), 5)
 FROM means""",
     "collection_violations": """
 WITH rows AS (
@@ -266,8 +286,19 @@ SELECT source || '/' || doc_id || '.pdf' AS source, len(string_split(text, chr(1
          AS clean_md5
 FROM documents""",
     "file_scan": "SELECT md5(text) AS content_md5, count(*) AS n_pages FROM documents GROUP BY ALL",
+    "collection_append_search": f"""
+WITH {MEANS},
+corpus AS (
+  SELECT vec_id AS id, 'label ' || label AS page_content, embedding::DOUBLE[] AS v FROM embeddings
+  UNION ALL SELECT (-1 - query_id)::BIGINT, 'mean', q::FLOAT[]::DOUBLE[] FROM means),
+scored AS (
+  SELECT query_id, id, page_content, round(list_cosine_similarity(q, v), 6) AS score FROM means, corpus),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM scored)
+SELECT query_id, rank, id, score, page_content FROM ranked WHERE rank <= 3""",
     "knn_cosine": knn(),
     "knn_l2": knn(metric="L2"),
+    "knn_l2_shifted": knn(metric="L2 shifted"),
     "knn_ip": knn(metric="IP"),
     "knn_filtered": knn(where="label >= 5"),
     "knn_threshold": knn(k=50, keep="score > 0.3"),

@@ -49,7 +49,8 @@ class DocumentSearch:
     ) -> DataFrame:
         """Chunks of parsed documents. With ``output`` the summary and the chunk report are written
         there, and the chunks with them, so that no page is split twice."""
-        pages = files.page_rows(parsed)
+        # Documents without pages stay in for the summary.
+        pages = files.page_rows(parsed, keep_empty=True)
         split = chunking.with_splits(pages, size, overlap, splitter, tokenizer=tokenizer)
         if output is None:
             return chunking.explode_chunks(split)
@@ -65,7 +66,7 @@ class DocumentSearch:
         self, chunks: DataFrame, nlist: int = index.NLIST, centroids: DataFrame | None = None
     ) -> DataFrame:
         """Number the chunks densely in the order they come in, embed them, store the collection and
-        its index. The stored collection is returned. No step shuffles the chunk texts."""
+        its index, for which rows are gathered by cell. The stored collection is returned."""
         numbered = numbering.ids_as_written(chunks)
         embedded = embedding.embed(numbered, self.embedder)
         dim = getattr(self.embedder, "dim", None)
@@ -74,6 +75,18 @@ class DocumentSearch:
         index.build_index(stored, f"{self.collection}/index", centroids, nlist)
         return stored
 
+    def add(self, chunks: DataFrame) -> DataFrame:
+        """Add chunks to the stored collection and its index, so that both kinds of search find them.
+        Ids go on after the greatest one. Returns the rows added."""
+        rows = store.read_collection(self.spark, f"{self.collection}/rows")
+        greatest = rows.agg(F.max("id")).first()[0]
+        numbered = numbering.ids_as_written(chunks, start=1 if greatest is None else greatest + 1)
+        embedded = settled(embedding.embed(numbered, self.embedder), "added")
+        store.insert(embedded, f"{self.collection}/rows")
+        columns = rows.columns
+        index.append_to_index(store.typed(embedded).select(columns), f"{self.collection}/index")
+        return embedded
+
     def retrieve(
         self, query: str | DataFrame, threshold: float | None = None, limit: int | None = None,
         expr: str | None = None, output_fields: Sequence[str] | None = None,

@@ -46,6 +46,15 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put one folder in the place of another."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    drop_folder(spark, target)
+    if not system.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application. Results that still read them are lost."""
     drop_folder(spark, _scratch_root(spark))

@@ -1,11 +1,14 @@
 """Stored collections: id, page_content, metadata, embeddings. Addressed by path or table name."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from pagetrove.functions import vectors as V
+from pagetrove.session import drop_folder, replace_folder, scratch_path
 
 # Columns of a collection and the greatest length of a text, in bytes.
 SCHEMA = T.StructType([
@@ -52,14 +55,14 @@ def _first_dimension(df):
     return None if row is None else len(row["embeddings"])
 
 
-def _broken(dim: int) -> dict[str, Column]:
-    """Row rules by name; a rule is true where it is broken."""
+def _broken(dim: int | None) -> dict[str, Column]:
+    """Row rules by name; a rule is true where it is broken. Without a dimension there is none to break."""
     vector = F.col("embeddings")
     return {
         "null_id": F.col("id").isNull(),
         "text_too_long": F.coalesce(F.octet_length("page_content") > MAX_TEXT, F.lit(False)),
         "null_vector": vector.isNull(),
-        "wrong_dimension": F.coalesce(F.size(vector) != dim, F.lit(False)),
+        "wrong_dimension": F.coalesce(F.size(vector) != dim, F.lit(False)) if dim is not None else F.lit(False),
         "null_element": F.coalesce(F.exists(vector, lambda x: x.isNull()), F.lit(False)),
     }
 
@@ -82,30 +85,46 @@ def collection_violations(df: DataFrame, dim: int) -> DataFrame:
     return totals.select(F.inline(F.array(*pairs)))
 
 
+def typed(df: DataFrame) -> DataFrame:
+    """The columns of a collection, in its types."""
+    return df.select(
+        F.col("id").cast("long"), "page_content", "metadata", V.to_vector(F.col("embeddings"))
+        .alias("embeddings"),
+    )
+
+
 def _checked(df, dim):
     """The collection's columns; a row that breaks a rule fails the write that reads it."""
     if dim is None:
         dim = _first_dimension(df)
-    typed = df.select(
-        F.col("id").cast("long"), "page_content", "metadata", V.to_vector(F.col("embeddings"))
-        .alias("embeddings"),
-    )
     failure = F.lit(None).cast("string")
-    for name, broken in _broken(dim).items() if dim is not None else ():
+    for name, broken in _broken(dim).items():
         text = F.concat(F.lit(f"collection rule {name} is broken by id "),
                         F.coalesce(F.col("id").cast("string"), F.lit("null")))
         failure = F.coalesce(failure, F.when(broken, text))
     sound = F.when(failure.isNotNull(), F.raise_error(failure)).otherwise(F.col("id"))
-    return typed.withColumn("id", sound.cast("long"))
+    return typed(df).withColumn("id", sound.cast("long"))
 
 
 def create_collection(df: DataFrame, target: str, dim: int | None = None) -> None:
     """Create or replace a collection. The dimension is that of the first row if none is given.
 
-    Rules on single rows are checked while the rows are written, without a pass of their own.
+    Rules on single rows are checked while the rows are written, without a pass of their own. They are
+    written beside the old collection, which is replaced only when all of them are sound.
     """
-    writer = _checked(df, dim).write.mode("overwrite")
-    writer.parquet(target) if _is_path(target) else writer.saveAsTable(target)
+    spark, sound = df.sparkSession, _checked(df, dim)
+    if _is_path(target):
+        beside = f"{target.rstrip('/')}-new-{uuid.uuid4().hex}"
+        try:
+            sound.write.parquet(beside)
+            replace_folder(spark, beside, target)
+        finally:
+            drop_folder(spark, beside)
+        return
+    beside = scratch_path(spark, "collection")
+    sound.write.parquet(beside)
+    spark.read.schema(SCHEMA).parquet(beside).write.mode("overwrite").saveAsTable(target)
+    drop_folder(spark, beside)
 
 
 def insert(df: DataFrame, target: str) -> None:

@@ -70,11 +70,15 @@ def parse_files(files: DataFrame, parse="PyPDFLoader") -> DataFrame:
     )
 
 
-def page_rows(parsed: DataFrame) -> DataFrame:
-    """Page table of parsed documents: source, page, page_content, metadata."""
+def page_rows(parsed: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Page table of parsed documents: source, page, page_content, metadata.
+
+    With ``keep_empty`` a document without pages has one row, all null but for the source.
+    """
     if "loaded_docs" not in parsed.columns:
         raise ValueError("the column 'loaded_docs' is missing")
-    return parsed.select("source", F.posexplode("loaded_docs").alias("page", "doc")).select(
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    return parsed.select("source", explode("loaded_docs").alias("page", "doc")).select(
         "source", "page", "doc.page_content", "doc.metadata"
     )
 

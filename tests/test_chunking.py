@@ -117,7 +117,7 @@ def test_tokenizer_windows(spark, splitter):
 def test_line_packs(spark):
     texts = ["aa\nbb\ncc", "a very long line\nb\n\nc", "", None, "x"]
     got = chunk_lists(C.chunk_lines(pages(spark, texts), 5), len(texts))
-    assert got == [["aa\nbb", "cc"], ["a very long line", "b\n\nc"], [""], [], ["x"]]
+    assert got == [["aa\nbb", "cc"], ["a very long line", "b\n\nc"], [], [], ["x"]]
 
 
 def test_inherited_columns(spark):

@@ -120,6 +120,10 @@ def test_assignment_ties_and_nulls(spark):
 
 
 def test_too_few_vectors(spark):
-    df = spark.createDataFrame([(0, [1.0, 1.0])], "id int, embeddings array<float>")
+    df = spark.createDataFrame([(0, [1.0, 1.0]), (1, [0.0, 0.0])], "id int, embeddings array<float>")
+    got = {r.cell: list(r.centroid) for r in index.train_centroids(df, 8).collect()}
+    assert got == {0: [1.0, 1.0]}
+    got = {r.cell: list(r.centroid) for r in index.train_centroids(df.where("id = 1"), 8).collect()}
+    assert got == {0: [0.0, 0.0]}
     with pytest.raises(ValueError):
-        index.train_centroids(df, 8)
+        index.train_centroids(df.where("id > 1"), 8)
