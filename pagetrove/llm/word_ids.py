@@ -4,10 +4,12 @@ The vocabulary this is for drops white space and never joins characters across i
 are those of its words in a row. Ids of words seen before are kept, so that frequent words cost one
 lookup. New words are encoded by the library, many at a time; if they have plain Latin letters only,
 they are first cut where the vocabulary's own pattern cuts them and put in lower case, as "Word," and
-"word" then share a piece that may be known.
+"word" then share a piece that may be known. New pieces of ASCII go to the library's model itself: they
+are cut already, and its byte alphabet has them as they are.
 """
 
 import re
+import struct
 from itertools import chain
 
 import numpy as np
@@ -74,16 +76,30 @@ class WordIds:
         made.update(zip(odd, (ids.tobytes() for ids in self._of(odd))))
         return made
 
+    def _encode_pieces(self, pieces):
+        """Ids of each new piece."""
+        tokenize, made, rest = self.tokenizer.model.tokenize, {}, []
+        for piece in pieces:
+            if piece.isascii():
+                ids = [token.id for token in tokenize(piece)]
+                made[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(piece)
+        made.update(self._encode_new(rest))
+        return made
+
     def _learn(self, words):
         cut, direct = {}, []
         for word in words:
             text = word.decode(errors="replace")
-            if _PLAIN.fullmatch(text) and "<|" not in text:
+            if text.isascii() and text.isalpha():
+                cut[word] = (text.lower(),)
+            elif _PLAIN.fullmatch(text) and "<|" not in text:
                 cut[word] = _PIECE.findall(text.lower())
             else:
                 direct.append((word, text))
         pieces = set(chain.from_iterable(cut.values()))
-        self.pieces.new.update(self._encode_new(self.pieces.missing(pieces)))
+        self.pieces.new.update(self._encode_pieces(self.pieces.missing(pieces)))
         known = self.pieces.new.__getitem__
         for word, found in cut.items():
             self.words.new[word] = b"".join(map(known, found))
