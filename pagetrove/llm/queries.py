@@ -5,7 +5,9 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrove.llm import automaton, brown, edit_counts, mixing, packing, rans, rules, shard, simhash, span_hash
+from pagetrove.llm import (
+    automaton, brown, edit_counts, hard_negatives, mixing, packing, rans, rules, shard, simhash, span_hash,
+)
 from pagetrove.session import scratch_path, table
 
 
@@ -109,7 +111,15 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept")
 
 
-QUERIES = [op1_simhash, op2_span_hash, op3_shard, op4_brown, op5_edit_counts, op6_automaton, op7_rans, op8_mixing, op9_packing, op10_rules]
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, folder, "embeddings", "vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label")).alias("label")))
+
+
+QUERIES = [
+    op1_simhash, op2_span_hash, op3_shard, op4_brown, op5_edit_counts, op6_automaton, op7_rans, op8_mixing, op9_packing,
+    op10_rules, op11_hard_negatives,
+]
 
 ORACLES: dict[str, str] = {
     "op6_automaton": r"""
@@ -130,4 +140,24 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
                sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM split LEFT JOIN kept USING (doc_id)""",
+    "op11_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                   CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+            FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+               id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 3""",
 }
