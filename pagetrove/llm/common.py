@@ -27,13 +27,13 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[l
             yield [column.to_pylist() for column in part.columns]
 
 
-def map_slices(df: DataFrame, work: Callable[[list[list]], list], schema: str) -> DataFrame:
-    """Apply ``work`` to lists of column values; it returns the columns of the result."""
+def map_slices(df: DataFrame, work: Callable[[list[list]], list], schema: str, rows: int = 1024) -> DataFrame:
+    """Apply ``work`` to lists of column values, ``rows`` at a time; it returns the columns of the result."""
     fields = T.StructType.fromDDL(schema)
     names, types = fields.names, [field.type for field in to_arrow_schema(fields)]
 
     def run(batches):
-        for columns in in_slices(batches):
+        for columns in in_slices(batches, rows):
             made = work(columns)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, type=kind) for values, kind in zip(made, types)], names=names)
@@ -70,3 +70,20 @@ def part_of(column: Column, cuts: list[int], least: int = 0) -> Column:
     middle = len(cuts) // 2
     return F.when(column >= cuts[middle], part_of(column, cuts[middle + 1:], least + middle + 1)).otherwise(
         part_of(column, cuts[:middle], least))
+
+
+# A term is a run of ASCII letters, digits and characters beyond ASCII, A-Z in lower case. In UTF-8 all
+# bytes of the latter are above 127, so that one table does for bytes.
+_TERM_BYTES = bytes(
+    at + 32 if 65 <= at <= 90 else at if at >= 128 or chr(at).isalnum() else 32 for at in range(256))
+STRETCH = 1 << 20  # bytes of a text that are split at a time
+
+
+def term_stretches(text: bytes, most: int = STRETCH) -> Iterator[list[bytes]]:
+    """The terms of a text in order, a bounded stretch at a time."""
+    text, at = text.translate(_TERM_BYTES), 0
+    while at < len(text):
+        end = text.find(b" ", at + most) if at + most < len(text) else -1
+        end = len(text) if end < 0 else end
+        yield text[at:end].split()
+        at = end

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrove.llm import (
-    automaton, brown, edit_counts, hard_negatives, mixing, packing, rans, rules, shard, simhash, span_hash,
+    automaton, brown, decontaminate, edit_counts, hard_negatives, mixing, packing, rans, rules, shard, simhash, span_hash,
 )
 from pagetrove.session import scratch_path, table
 
@@ -116,9 +116,14 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
         F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label")).alias("label")))
 
 
+def op12_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_items(_documents(spark, folder), table(spark, folder, "benchmark", "item_id", "text"))
+    return decontaminate.digest(found)
+
+
 QUERIES = [
     op1_simhash, op2_span_hash, op3_shard, op4_brown, op5_edit_counts, op6_automaton, op7_rans, op8_mixing, op9_packing,
-    op10_rules, op11_hard_negatives,
+    op10_rules, op11_hard_negatives, op12_wu_manber,
 ]
 
 ORACLES: dict[str, str] = {
@@ -160,4 +165,37 @@ ORACLES: dict[str, str] = {
         FROM positives JOIN scores USING (anchor_id)
         WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
         QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 3""",
+    "op12_wu_manber": r"""
+        WITH document_words AS (
+            SELECT doc_id, regexp_extract_all(translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        item_words AS (
+            SELECT item_id, regexp_extract_all(translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, width, array_to_string(words[place:place + width - 1], ' ') AS content
+            FROM (SELECT item_id, words, least(10, len(words)) AS width,
+                         unnest(range(1, len(words) - least(10, len(words)) + 2)) AS place
+                  FROM item_words WHERE len(words) > 0)),
+        widths AS (SELECT DISTINCT width FROM windows),
+        places AS (
+            SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS place
+            FROM document_words, widths WHERE len(words) >= width),
+        found AS (
+            SELECT doc_id, place, width, item_id
+            FROM (SELECT doc_id, place, width, array_to_string(words[place:place + width - 1], ' ') AS content
+                  FROM places) JOIN windows USING (width, content)),
+        hits AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(place, place + width)) AS place FROM found) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM document_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
