@@ -10,9 +10,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetrove.llm.heaps import GREATEST, LEAST, Heaps, merged
 from pagetrove.operators.numbering import ids_as_written, range_sorted
 from pagetrove.session import scratch_path, spread
 
@@ -23,7 +24,6 @@ BLOCK_BYTES = 32 << 20  # anchors that are broadcast at a time
 # Scores times 100 have to fit into 64 bits.
 GREATEST_SCORE = (1 << 63) // 128
 
-_LEAST, _GREATEST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
 def strassen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -52,30 +52,6 @@ def strassen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out[:rows, :columns]
 
 
-class Heaps:
-    """The best ``size`` entries (score, id) of each key: greatest scores first, then smallest ids. What
-    other heaps hold is merged by taking it in."""
-
-    def __init__(self, keys: int, size: int):
-        self.size = size
-        self.floor = np.full(keys, _LEAST)  # lower scores are of no use any more
-        self.key = self.score = self.id = np.zeros(0, np.int64)
-
-    def take(self, key: np.ndarray, score: np.ndarray, row: np.ndarray) -> None:
-        if not len(key):
-            return
-        key, score, row = (np.concatenate(pair) for pair in (
-            (self.key, key), (self.score, score), (self.id, row)))
-        order = np.lexsort((row, -score, key))
-        key, score, row = key[order], score[order], row[order]
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        place = np.arange(len(key)) - np.repeat(starts, np.diff(np.append(starts, len(key))))
-        last = place == self.size - 1
-        self.floor[key[last]] = score[last]
-        kept = place < self.size
-        self.key, self.score, self.id = key[kept], score[kept], row[kept]
-
-
 def whole_matrix(vectors: pa.Array, width: int | None = None) -> np.ndarray:
     """floor(256 x) of every element, as rows of one width: that of the longest vector, or the given one. A
     shorter vector ends in zeros, a longer one is cut, as its other products would be with zeros."""
@@ -153,7 +129,7 @@ def _find_positives(shared, size):
         for tiles in held.values():
             for span, heaps in tiles:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((heaps.key + span.start).astype(np.int32)), pa.array(heaps.id), pa.array(heaps.score)],
+                    [pa.array((heaps.key + span.start).astype(np.int32)), pa.array(heaps.ids[0]), pa.array(heaps.score)],
                     names=["anchor", "positive_id", "positive_score"])
 
     return run
@@ -166,7 +142,7 @@ class _Windows:
         anchor, place = found.column("anchor").to_numpy(), found.column("place").to_numpy() - 1
         self.ids = np.zeros((anchors, size), np.int64)
         self.scores = np.zeros((anchors, size), np.int64)
-        self.low, self.high = np.full((anchors, size), _GREATEST), np.full((anchors, size), _LEAST)
+        self.low, self.high = np.full((anchors, size), GREATEST), np.full((anchors, size), LEAST)
         scores = found.column("positive_score").to_numpy()
         self.ids[anchor, place], self.scores[anchor, place] = found.column("positive_id").to_numpy(), scores
         # least * positive <= 100 * negative <= most * positive, in whole numbers.
@@ -202,19 +178,13 @@ def _find_negatives(shared, size):
             anchor, place = heaps.key // places + span.start, heaps.key % places
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(block.ids[anchor]),
-                 pa.array(windows.ids[anchor, place]), pa.array(windows.scores[anchor, place]), pa.array(heaps.id),
+                 pa.array(windows.ids[anchor, place]), pa.array(windows.scores[anchor, place]), pa.array(heaps.ids[0]),
                  pa.array(heaps.score)],
                 names=[part.split()[0] for part in _NEGATIVES.split(", ")])
 
     return run
 
 
-def _best(found, keys, score, row, size, rank):
-    """The heaps of all tasks, merged: the best ``size`` rows of each key, and their places from 1."""
-    order = Window.partitionBy(*keys).orderBy(F.desc(score), row)
-    return found.withColumn(rank, F.row_number().over(order)).where(F.col(rank) <= size)
-
-
 def mine(vectors: DataFrame, every: int = 50, positives: int = 5, negatives: int = 3, least: int = 50,
          most: int = 95, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) for the anchors among
@@ -246,11 +216,11 @@ def mine(vectors: DataFrame, every: int = 50, positives: int = 5, negatives: int
         labels = np.unique(block.labels)
         near = rows.where(F.col("label").between(int(labels[0]), int(labels[-1])))
         first = near.mapInArrow(_find_positives(spark.sparkContext.broadcast(block), positives), _POSITIVES)
-        first = _best(first, ["anchor"], "positive_score", "positive_id", positives, "place")
+        first = merged(first, ["anchor"], "positive_score", "positive_id", positives, "place")
         windows = _Windows(first.toArrow(), len(block.ids), positives, least, most)
         second = rows.mapInArrow(
             _find_negatives(spark.sparkContext.broadcast((block, windows)), negatives), _NEGATIVES)
-        results.append(_best(second, ["anchor", "place"], "negative_score", "negative_id", negatives, "rank").select(
+        results.append(merged(second, ["anchor", "place"], "negative_score", "negative_id", negatives, "rank").select(
             "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))
         if size["n"] > cap:
             # Written block by block, so that no plan and no failure spans them all.

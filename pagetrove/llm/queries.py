@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrove.llm import (
-    automaton, brown, decontaminate, edit_counts, hard_negatives, mixing, packing, rans, rules, shard, simhash, span_hash,
+    automaton, bag_search, brown, decontaminate, edit_counts, hard_negatives, mixing, packing, rans, rules, shard, simhash, span_hash,
 )
 from pagetrove.session import scratch_path, table
 
@@ -121,9 +121,13 @@ def op12_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op13_bag_search(spark: SparkSession, folder: str) -> DataFrame:
+    return bag_search.search(_documents(spark, folder), table(spark, folder, "benchmark", "item_id", "text"))
+
+
 QUERIES = [
     op1_simhash, op2_span_hash, op3_shard, op4_brown, op5_edit_counts, op6_automaton, op7_rans, op8_mixing, op9_packing,
-    op10_rules, op11_hard_negatives, op12_wu_manber,
+    op10_rules, op11_hard_negatives, op12_wu_manber, op13_bag_search,
 ]
 
 ORACLES: dict[str, str] = {
@@ -198,4 +202,33 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM document_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op13_bag_search": r"""
+        WITH document_terms AS (
+            SELECT doc_id, regexp_extract_all(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL),
+        item_terms AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        sizes AS (SELECT doc_id, CAST(len(terms) AS BIGINT) AS n FROM document_terms WHERE len(terms) > 0),
+        totals AS (SELECT count(*) AS n_all, CAST(sum(n) AS BIGINT) AS l_all FROM sizes),
+        counts AS (
+            SELECT doc_id, term, count(*) AS tf
+            FROM (SELECT doc_id, unnest(terms) AS term FROM document_terms) GROUP BY doc_id, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * n_all + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, totals GROUP BY term, n_all),
+        parts AS (
+            SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_all) // l_all))) AS part
+            FROM counts JOIN weights USING (term) JOIN sizes USING (doc_id), totals),
+        scores AS (
+            SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score
+            FROM parts JOIN item_terms USING (term) GROUP BY item_id, doc_id)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+               doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50""",
 }
