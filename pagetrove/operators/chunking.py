@@ -39,13 +39,20 @@ def token_windows(words: Column, size: int, overlap: int) -> Column:
     return F.transform(starts, lambda i: F.slice(words, i + 1, F.lit(size)))
 
 
-def char_windows(text: Column, size: int, overlap: int) -> Column:
-    """Windows of ``size`` characters; each starts ``size - overlap`` characters after the one before.
-    A blank text has none."""
-    starts = F.when(
-        F.length(F.trim(text)) > 0, F.sequence(F.lit(0), F.length(text) - 1, F.lit(size - overlap))
-    ).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(text, i + 1, F.lit(size)))
+def char_windows(size: int, overlap: int) -> Callable[[Column], Column]:
+    """Function of a text column: windows of ``size`` characters, of which each starts ``size - overlap``
+    characters after the one before. A blank text has none.
+
+    The windows are cut in Python, because in the JVM a place in a text is found by walking from its start.
+    """
+
+    @F.arrow_udf(STRINGS)
+    def cut(texts: pa.Array) -> pa.Array:
+        return pa.array(
+            [[text[at:at + size] for at in range(0, len(text), size - overlap)] if text and text.strip() else []
+             for text in texts.to_pylist()], pa.list_(pa.string()))
+
+    return cut
 
 
 def _pack_lines(text, size):
@@ -155,4 +162,4 @@ def chunk_characters(
 ) -> DataFrame:
     """Chunk rows of a fixed number of characters."""
     check_chunk_parameters(size, overlap)
-    return explode_chunks(pages.withColumn("splits", char_windows(F.col(text_col), size, overlap)), text_col)
+    return explode_chunks(pages.withColumn("splits", char_windows(size, overlap)(text_col)), text_col)

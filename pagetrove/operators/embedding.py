@@ -4,7 +4,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrove.functions import text as X
@@ -13,7 +13,7 @@ from pagetrove.functions import vectors as V
 HASH_DIM = 256
 
 
-def _counts_to_unit_vectors(dim):
+def _counts_to_unit_vectors(dim, weights=None):
     @F.arrow_udf(V.VECTOR)
     def dense(buckets: pa.Array) -> pa.Array:
         parts = []
@@ -23,7 +23,8 @@ def _counts_to_unit_vectors(dim):
             lengths = np.diff(part.offsets.to_numpy())
             cells = np.repeat(np.arange(rows), lengths) * dim + part.flatten().to_numpy()
             counts = np.bincount(cells, minlength=rows * dim).reshape(rows, dim)
-            parts.append(V.list_array(V.unit_rows(counts.astype(np.float64))))
+            counts = counts.astype(np.float64) if weights is None else counts * weights
+            parts.append(V.list_array(V.unit_rows(counts)))
         return pa.concat_arrays(parts)
 
     return dense
@@ -46,21 +47,57 @@ class HashEmbedder:
         """Sparse form without Python: rows of keys, bucket and word count."""
         kept = df.select(*keys, F.sort_array(V.hash_buckets(X.tokens(F.col(text_col)), self.dim))
                          .alias("sorted"))
-        kept = kept.withColumn("buckets", F.array_distinct("sorted"))
-        kept = kept.withColumn(
-            "firsts", F.transform("buckets", lambda b: F.array_position("sorted", b))
-        )
-        # Equal buckets stand next to each other, so a count is the distance to the next bucket.
-        counts = F.transform(
-            "firsts",
-            lambda at, i: F.coalesce(F.get("firsts", i + 1), F.size("sorted") + 1) - at,
-        )
-        pairs = F.arrays_zip(F.col("buckets").alias("bucket"), counts.alias("n"))
+        # Equal buckets stand next to each other: a run begins where the bucket before is another, and its
+        # count is the distance to the next run.
+        begins = F.transform("sorted", lambda bucket, i: F.when(
+            (i == 0) | (F.get("sorted", i - 1) != bucket), i))
+        kept = kept.withColumn("firsts", F.array_compact(begins))
+        pairs = F.transform("firsts", lambda at, i: F.struct(
+            F.get("sorted", at).alias("bucket"),
+            (F.coalesce(F.get("firsts", i + 1), F.size("sorted")) - at).alias("n")))
         # The outer form, for the reason given at explode_chunks.
         rows = kept.select(*keys, F.inline_outer(pairs)).toDF(*keys, "bucket", "n")
         return rows.where(F.col("bucket").isNotNull())
 
 
+class TfIdfEmbedder:
+    """Word counts per hash bucket, times the bucket's weight in a corpus, scaled to length 1.
+
+    A bucket that ``df`` of ``n`` texts have weighs ln((1 + n) / (1 + df)) + 1 (Salton and Buckley, 1988, in the smoothed
+    form). The weights are learned by ``fit`` and stay as they are for texts and queries that come later.
+    """
+
+    def __init__(self, dim: int = HASH_DIM, weights: np.ndarray | None = None):
+        self.dim, self.bucket_weights = dim, weights
+
+    def fit(self, df: DataFrame, text_col: str = "page_content") -> "TfIdfEmbedder":
+        """An embedder with the weights of a corpus. One aggregation, of as many rows as there are buckets;
+        null and blank texts count as texts without words."""
+        buckets = F.array_distinct(V.hash_buckets(X.tokens(F.coalesce(F.col(text_col), F.lit(""))), self.dim))
+        # Bucket -1 counts the texts.
+        marks = df.select(F.explode(F.concat(buckets, F.array(F.lit(-1)))).alias("bucket"))
+        counts = {row["bucket"]: row["n"] for row in marks.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+        texts = counts.pop(-1, 0)
+        held = np.zeros(self.dim)
+        held[list(counts)] = list(counts.values())
+        return TfIdfEmbedder(self.dim, np.log((1.0 + texts) / (1.0 + held)) + 1.0)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = list(enumerate(self.bucket_weights.tolist()))
+        spark.createDataFrame(rows, "bucket int, weight double").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "TfIdfEmbedder":
+        found = spark.read.parquet(path).orderBy("bucket").toArrow()
+        return TfIdfEmbedder(found.num_rows, found.column("weight").to_numpy())
+
+    def column(self, text: Column) -> Column:
+        if self.bucket_weights is None:
+            raise ValueError("the weights have to be fitted or loaded first")
+        buckets = V.hash_buckets(X.tokens(text), self.dim)
+        return _counts_to_unit_vectors(self.dim, self.bucket_weights)(F.coalesce(buckets, F.array().cast("array<int>")))
+
+
 class ModelEmbedder:
     """Any Python model. ``load`` is called once per task and gives a function that turns a list of
     texts into a matrix with one row per text; texts come in Arrow batches."""
@@ -94,6 +131,7 @@ def sentence_transformer(model: str) -> ModelEmbedder:
 
 _EMBEDDERS = {
     "hash": lambda model: HashEmbedder(int(model) if model else HASH_DIM),
+    "tfidf": lambda model: TfIdfEmbedder(int(model) if model else HASH_DIM),
     "SentenceTransformer": sentence_transformer,
     "HuggingFaceEmbeddings": sentence_transformer,
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetrove.functions import vectors as V
-from pagetrove.operators.search import LIMIT, search
+from pagetrove.operators.search import BLOCK_BYTES, LIMIT, search, search_range
 from pagetrove.session import settled
 
 # Default number of cells, and of cells probed per query.
@@ -20,6 +20,13 @@ NPROBE = 10
 
 # Bound on the centroid matrix that is broadcast.
 CENTROID_BYTES = 256 << 20
+# Centroids fetched to learn their number and dimension.
+FIRST_CENTROIDS = 4096
+
+# Column of an index: the cosine of a row with the centroid of its cell.
+COSINE = "__cosine"
+# Scores are rounded to six places; angles have errors of their own, far smaller.
+MARGIN = 1e-6
 
 CENTROIDS = T.StructType([
     T.StructField("cell", T.IntegerType()),
@@ -34,8 +41,8 @@ def train_centroids(
     """Centroids of spherical k-means over all vectors: rows of (cell, centroid).
 
     Zero vectors have no direction, and others have elements that are not finite; both are left out
-    of the training, not of the index. There are at most as many cells as vectors to train on, and
-    one for a collection without any.
+    of the training, not of the index. There are at most as many cells as vectors to train on, one
+    for a collection without any to train on, and none without vectors at all.
     """
     usable = F.exists(anns_field, lambda x: x != 0) & F.forall(anns_field, lambda x: F.abs(x) < float("inf"))
     # k-means goes over its input once per iteration.
@@ -46,7 +53,7 @@ def train_centroids(
         known = points.first() or vectors.where(F.col(anns_field).isNotNull()).select(
             F.transform(anns_field, lambda x: F.lit(0.0)).alias("v")).first()
         if known is None:
-            raise ValueError("an index needs at least one vector")
+            return vectors.sparkSession.createDataFrame([], CENTROIDS)
         return vectors.sparkSession.createDataFrame([(0, list(known["v"]))], CENTROIDS)
     points = points.select(array_to_vector("v").alias("features"))
     model = KMeans(k=cells, distanceMeasure="cosine", maxIter=max_iter, seed=seed).fit(points)
@@ -71,16 +78,18 @@ def mean_centroids(vectors: DataFrame, label: str, anns_field: str = "embeddings
 
 
 def _centroid_matrix(centroids: DataFrame):
-    first = centroids.select(F.size("centroid").alias("dim")).first()
-    if first is None:
+    """(cells, matrix) in the order of the cells. Mostly one look at the centroids is enough."""
+    ordered = centroids.select("cell", "centroid").orderBy("cell")
+    found = ordered.limit(FIRST_CENTROIDS + 1).toArrow()
+    if not found.num_rows:
         raise ValueError("there are no centroids")
-    most = CENTROID_BYTES // (8 * max(1, first["dim"]))
-    # One more than fits tells whether there are too many.
-    found = centroids.select("cell", "centroid").orderBy("cell").limit(most + 1).toArrow()
+    most = CENTROID_BYTES // (8 * max(1, len(found.column("centroid")[0])))
+    if found.num_rows > FIRST_CENTROIDS and most > FIRST_CENTROIDS:
+        # One more than fits tells whether there are too many.
+        found = ordered.limit(most + 1).toArrow()
     if found.num_rows > most:
         raise ValueError("the centroids are too large to be broadcast; use fewer cells")
-    matrix = V.matrix(found.column("centroid"))
-    return found.column("cell").to_numpy(), matrix
+    return found.column("cell").to_numpy(), V.matrix(found.column("centroid"))
 
 
 def assign_cells(
@@ -116,35 +125,68 @@ def assign_cells(
     return df.withColumn(out, nearest_cells(F.col(anns_field)))
 
 
+def _placed(df, centroids, anns_field):
+    """Rows with their cell and the cosine with its centroid, not rounded."""
+    shared = df.sparkSession.sparkContext.broadcast(_centroid_matrix(centroids))
+
+    @F.arrow_udf(T.DoubleType())
+    def cosine(vectors: pa.Array, chosen: pa.Array) -> pa.Array:
+        cells, matrix = shared.value
+        valid = vectors.is_valid().to_numpy(zero_copy_only=False)
+        out, unit, number = np.zeros(len(vectors)), V.unit_rows(matrix), np.flatnonzero(valid)
+        rows = V.matrix(vectors.drop_null(), matrix.shape[1])
+        at = np.searchsorted(cells, chosen.drop_null().to_numpy())
+        step = max(1, V.ELEMENTS // max(1, matrix.shape[1]))
+        for begin in range(0, len(rows), step):
+            part = slice(begin, begin + step)
+            out[number[part]] = (V.unit_rows(rows[part]) * unit[at[part]]).sum(axis=1)
+        return pa.array(out, mask=~valid)
+
+    placed = assign_cells(df, centroids, anns_field)
+    return placed.withColumn(COSINE, cosine(F.col(anns_field), F.col("cell")))
+
+
 def build_index(
     collection: DataFrame, path: str, centroids: DataFrame | None = None,
     nlist: int = NLIST, anns_field: str = "embeddings",
 ) -> str:
-    """Write a collection partitioned by cell, next to its centroids.
+    """Write a collection partitioned by cell, next to its centroids. Every row has its cosine with the centroid.
 
     Rows are gathered by cell so that a cell becomes a few files; a cell that holds much of the
-    collection is split over many tasks by the rebalance step.
+    collection is split over many tasks by the rebalance step. A collection without vectors makes an index
+    without centroids and hits, which the first rows added to it train.
     """
     if centroids is None:
         centroids = train_centroids(collection, nlist, anns_field)
     spark = collection.sparkSession
     centroids.write.mode("overwrite").parquet(f"{path}/centroids")
     centroids = spark.read.parquet(f"{path}/centroids")
-    placed = assign_cells(collection, centroids, anns_field)
+    if centroids.isEmpty():
+        collection.withColumns({"cell": F.lit(None).cast("int"), COSINE: F.lit(None).cast("double")}).write.mode(
+            "overwrite").parquet(f"{path}/cells")
+        return path
+    placed = _placed(collection, centroids, anns_field)
     (placed.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell")
      .parquet(f"{path}/cells"))
     return path
 
 
-def append_to_index(rows: DataFrame, path: str, anns_field: str = "embeddings") -> None:
-    """Put more rows into an index, into the cells of its stored centroids."""
-    centroids = rows.sparkSession.read.parquet(f"{path}/centroids")
-    placed = assign_cells(rows, centroids, anns_field)
+def append_to_index(rows: DataFrame, path: str, anns_field: str = "embeddings", nlist: int = NLIST) -> None:
+    """Put more rows into an index, into the cells of its stored centroids. If it has none yet, it is built anew
+    from what it holds and these rows."""
+    spark = rows.sparkSession
+    centroids = spark.read.parquet(f"{path}/centroids")
+    if centroids.isEmpty():
+        held = read_cells(spark, path).drop("cell")
+        every = settled(held.unionByName(rows.select(held.columns)), "first-rows")
+        build_index(every, path, nlist=nlist, anns_field=anns_field)
+        return
+    placed = _placed(rows, centroids, anns_field)
     placed.hint("rebalance", "cell").write.mode("append").partitionBy("cell").parquet(f"{path}/cells")
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/cells")
+    return spark.read.parquet(f"{path}/cells").drop(COSINE)
 
 
 def search_index(
@@ -153,8 +195,64 @@ def search_index(
 ) -> DataFrame:
     """``search`` in the ``nprobe`` cells nearest to each query; takes the options of ``search``."""
     centroids = spark.read.parquet(f"{path}/centroids")
+    if centroids.isEmpty():
+        return search(read_cells(spark, path), queries, k, query_field=query_field, **options)
     probing = assign_cells(queries, centroids, query_field, "__cells", nprobe)
     return search(
         read_cells(spark, path), probing, k, query_field=query_field,
         cell="cell", query_cells="__cells", **options,
     )
+
+
+def _reachable_cells(queries, centroids, widest, threshold, query_field, out):
+    """The cells that may hold a vector whose cosine with the query is above the threshold.
+
+    Angles obey the triangle inequality: no vector of a cell is nearer to the query than the query's angle
+    to the centroid less the widest angle of the cell.
+    """
+    shared = queries.sparkSession.sparkContext.broadcast((_centroid_matrix(centroids), widest))
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def reach(vectors: pa.Array) -> pa.Array:
+        (cells, matrix), widest = shared.value
+        angles = np.array([widest.get(int(cell), np.nan) for cell in cells])
+        valid = vectors.is_valid().to_numpy(zero_copy_only=False)
+        rows, unit, found = V.matrix(vectors.drop_null(), matrix.shape[1]), V.unit_rows(matrix), []
+        step = max(1, V.ELEMENTS // len(cells))
+        for at in range(0, len(rows), step):
+            apart = np.arccos(np.clip(V.unit_rows(rows[at:at + step]) @ unit.T, -1.0, 1.0))
+            # A cell without usable vectors has no angle, and is not reached.
+            best = np.cos(np.maximum(0.0, apart - angles))
+            found += [cells[mask].tolist() for mask in best > threshold - MARGIN]
+        lists = iter(found)
+        return pa.array([next(lists) if one else None for one in valid], pa.list_(pa.int32()))
+
+    return queries.withColumn(out, reach(F.col(query_field)))
+
+
+def range_search(
+    spark: SparkSession, path: str, queries: DataFrame, threshold: float, *, ids: Sequence[str] = ("id",),
+    anns_field: str = "embeddings", expr: str | None = None, output_fields: Sequence[str] = (),
+    query_id: str = "query_id", query_field: str = "embeddings", block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """All rows of an index whose cosine with a query is above ``threshold``: query id, ids, score, output fields.
+
+    Nothing is lost: cells that no query can reach are not read, and a query meets the rows of no other cells than
+    it can reach. The widest angles come from the cosines stored with the rows, of which this reads one column.
+    A query without a vector has no hits, and so has a vector that is not finite.
+    """
+    stored = spark.read.parquet(f"{path}/cells")
+    rows = read_cells(spark, path)
+    rows = rows.where(expr) if expr else rows
+    centroids = spark.read.parquet(f"{path}/centroids")
+    widest = stored.where(F.col("cell").isNotNull() & F.col(COSINE).isNotNull()).groupBy("cell").agg(
+        F.min(COSINE).alias("least"))
+    # One row a cell, as many as there are centroids.
+    widest = {row["cell"]: float(np.arccos(np.clip(row["least"], -1.0, 1.0))) for row in widest.collect()}
+    if not widest:
+        queries, cells = queries.withColumn("__cells", F.array().cast("array<int>")), "__cells"
+    else:
+        queries, cells = _reachable_cells(queries, centroids, widest, threshold, query_field, "__cells"), "__cells"
+    return search_range(rows, queries, threshold, ids=ids, anns_field=anns_field, output_fields=output_fields,
+                        query_id=query_id, query_field=query_field, cell="cell", query_cells=cells,
+                        block_bytes=block_bytes)

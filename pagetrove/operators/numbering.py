@@ -28,10 +28,10 @@ def _rows_before(counts, group, width, step, levels):
         return counts.select(
             group, "__range", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
     wide = width * step
-    counts = settled(counts, "counts")
     placed = counts.withColumn("__wide", _range_start("__range", wide))
     totals = placed.groupBy(group, F.col("__wide").alias("__range")).agg(
         F.sum("__rows").alias("__rows"))
+    totals = settled(totals, "counts") if levels > 2 else totals
     above = _rows_before(totals, group, wide, step, levels - 1).withColumnsRenamed(
         {"__range": "__wide", "__before": "__above"})
     earlier = Window.partitionBy(group, "__wide").orderBy("__range").rowsBetween(
@@ -64,16 +64,16 @@ def number_within(
     key is unique in its group, no task has to sort more than ``width`` rows of a group, however the
     keys are spread. Rows with a null group are one more group; a null key is an error.
     """
-    ends = df.agg(F.min(key).alias("least"), F.max(key).alias("most"),
-                  F.count_if(F.col(key).isNull()).alias("nulls")).first()
+    keyed = df.withColumn("__range", _range_start(key, width))
+    counts = settled(keyed.groupBy(group, "__range").agg(F.count("*").alias("__rows")), "counts")
+    ends = counts.agg(F.min("__range").alias("least"), F.max("__range").alias("most"),
+                      F.sum(F.when(F.col("__range").isNull(), F.col("__rows"))).alias("nulls")).first()
     if ends["nulls"]:
         raise ValueError(f"{ends['nulls']} rows have no {key!r} to number them by")
-    ranges = 1 if ends["least"] is None else (ends["most"] - ends["least"]) // width + 2
+    ranges = 1 if ends["least"] is None else (ends["most"] - ends["least"]) // width + 1
     levels = 1
     while ranges > width ** levels:
         levels += 1
-    keyed = df.withColumn("__range", _range_start(key, width))
-    counts = keyed.groupBy(group, "__range").agg(F.count("*").alias("__rows"))
     before = _rows_before(counts, group, width, width, levels)
     in_range = Window.partitionBy(group, "__range").orderBy(key, *ties)
     numbered = keyed.withColumn("__local", F.row_number().over(in_range))

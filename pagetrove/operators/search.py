@@ -148,6 +148,7 @@ def _search_block(corpus, block, k, metric, threshold, ids, vector, cell, query_
 
 
 def _to_block(found, query_id, vector, cells):
+    found = found.filter(pc.is_valid(found.column(vector)))
     if len(pc.unique(found.column(query_id))) < found.num_rows:
         raise ValueError(f"queries must differ in {query_id!r}")
     matrix = V.matrix(found.column(vector))
@@ -182,31 +183,48 @@ def search(
 
     ``expr`` restricts the corpus before the search. ``threshold`` keeps scores strictly on the
     better side of it. With ``cell`` and ``query_cells`` a query meets only corpus rows whose cell is
-    in its list. Ties go to the lower id.
+    in its list. Ties go to the lower id. A query without a vector has no hits. An output field may not
+    have the name of another column of the result.
     """
     V.check_metric(metric)
     if k <= 0:
         raise ValueError("k must be positive")
+    _check_fields(output_fields, (query_id, "rank", "score"))
     wanted = queries.select(query_id, query_field, *([query_cells] if query_cells else []))
     rows = corpus.where(expr) if expr else corpus
     args = (k, metric, threshold, tuple(ids), anns_field, cell, queries.schema[query_id])
     columns = (query_id, query_field, query_cells)
 
     found = wanted.limit(FIRST_QUERIES + 1).toArrow()
-    if not found.num_rows:
-        return _with_fields(_no_hits(rows, args), rows, ids, output_fields, query_id, 0)
-    width = len(found.column(query_field)[0]) + (len(found.column(query_cells)[0]) if query_cells else 0)
-    cap = max(1, min(block_bytes // (8 * width), TASK_HITS // k))
+    cap = query_cap(found, query_field, query_cells, block_bytes, k)
     if found.num_rows > FIRST_QUERIES and cap > FIRST_QUERIES:
         found = wanted.limit(cap + 1).toArrow()
     if found.num_rows <= cap:
         block = _to_block(found, *columns)
+        if not len(block[0]):
+            return _with_fields(_no_hits(rows, args), rows, ids, output_fields, query_id, 0)
         hits, rows = _search_block(rows, block, *args), _in_cells(rows, cell, block)
         return _with_fields(hits, rows, ids, output_fields, query_id, found.num_rows * k)
-    hits = _search_in_blocks(rows, wanted, cap, columns, args)
+    if cell:
+        hits = _search_joined(rows, wanted, columns, args)
+    else:
+        hits = _search_in_blocks(rows, wanted, cap, columns, args)
     return _with_fields(hits, rows, ids, output_fields, query_id, None)
 
 
+def query_cap(found: pa.Table, query_field: str, query_cells: str | None, block_bytes: int, k: int) -> int:
+    """How many queries such as those found go into one block."""
+    widths = [max((len(value) for value in found.column(name) if value.is_valid), default=1)
+              for name in (query_field, query_cells) if name]
+    return max(1, min(block_bytes // (8 * max(1, sum(widths))), TASK_HITS // k))
+
+
+def _check_fields(output_fields, names):
+    clash = sorted({name for name in names if name in output_fields})
+    if clash:
+        raise ValueError(f"output fields may not be named {', '.join(clash)}")
+
+
 def _in_cells(rows, cell, block):
     """Literal cell list: of a corpus partitioned by cell, only these partitions are read."""
     return rows.where(F.col(cell).isin(sorted(block[2]))) if cell else rows
@@ -235,11 +253,73 @@ def _search_in_blocks(rows, wanted, cap, columns, args):
     rows = settled(rows.select(*ids, vector, *([cell] if cell else [])), "corpus")
     for number in range(-(-queries.count() // cap)):
         found = queries.where(F.col("__block") == number).select(*wanted.columns).toArrow()
-        hits = _search_block(rows, _to_block(found, *columns), *args)
+        block = _to_block(found, *columns)
+        if not len(block[0]):
+            continue
+        hits = _search_block(rows, block, *args)
         hits.write.mode("append").parquet(results)
     return spark.read.schema(_no_hits(rows, args).schema).parquet(results)
 
 
+# Rows and queries that meet in one group of the join below.
+GROUP_ROWS = 50_000
+GROUP_QUERIES = 5_000
+
+
+def _search_joined(rows, wanted, columns, args):
+    """One pass for any number of queries, which go to the cells they probe by a shuffle.
+
+    A cell's rows are dealt to groups of about ``GROUP_ROWS``, its queries to groups of about
+    ``GROUP_QUERIES``; every group of rows meets every group of queries, matrix by matrix. A row is sent
+    once for each group of queries of its own cell, a query once for each group of rows of its cells.
+    """
+    k, metric, threshold, ids, vector, cell, query_id = args
+    _, query_field, query_cells = columns
+    # Written, since both sides are counted first and may have been embedded.
+    queries = settled(wanted, "queries")
+    if not queries.groupBy(query_id.name).count().where("count > 1").isEmpty():
+        raise ValueError(f"queries must differ in {query_id.name!r}")
+    asked = queries.where(F.col(query_field).isNotNull()).select(
+        F.col(query_id.name).alias("__query"), F.col(query_field).alias("__asked"),
+        F.explode(F.array_distinct(query_cells)).alias("__cell"))
+    rows = rows.select(*ids, vector, F.col(cell).alias("__cell"))
+    sizes = rows.groupBy("__cell").agg(F.count("*").alias("__rows")).join(
+        asked.groupBy("__cell").agg(F.count("*").alias("__queries")), "__cell")
+    sizes = settled(sizes.select(
+        "__cell", F.ceil(F.col("__rows") / GROUP_ROWS).alias("__row_groups"),
+        F.ceil(F.col("__queries") / GROUP_QUERIES).alias("__query_groups")), "cells")
+    if sizes.count() <= BROADCAST_HITS:
+        sizes = F.broadcast(sizes)
+
+    def dealt(df, key, own, other):
+        """A group of the row's own kind by a hash, and a copy of the row for each of the other kind."""
+        return df.join(sizes, "__cell").withColumns({
+            f"{own}_group": F.pmod(F.xxhash64(*key), F.col(f"{own}_groups")),
+            f"{other}_group": F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_groups") - 1)),
+        }).drop("__row_groups", "__query_groups")
+
+    group = ["__cell", "__row_group", "__query_group"]
+    fields = [query_id, *[rows.schema[name] for name in ids], T.StructField("score", T.DoubleType())]
+    schema = T.StructType(fields)
+    arrow = to_arrow_schema(schema)
+
+    def meet(found, asking):
+        # Rows without a vector are no hits.
+        found = found.filter(pc.is_valid(found.column(vector)))
+        if not found.num_rows or not asking.num_rows:
+            return arrow.empty_table()
+        queries = V.matrix(asking.column("__asked"))
+        best = _Best(queries, k, metric, threshold, list(ids))
+        best.offer(V.matrix(found.column(vector), queries.shape[1]), found.select(list(ids)))
+        return pa.Table.from_batches([best.batch(asking.column("__query").combine_chunks(), arrow)])
+
+    partial = dealt(rows, ids, "__row", "__query").groupBy(*group).cogroup(
+        dealt(asked, ["__query"], "__query", "__row").groupBy(*group)).applyInArrow(meet, schema)
+    best = F.col("score").desc() if V.METRICS[metric] else F.col("score").asc()
+    ranks = Window.partitionBy(query_id.name).orderBy(best, *ids)
+    return partial.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
+
+
 def in_files_of_hits(rows, keys, hits, bound):
     """The rows, read from the files that hold a hit only.
 
@@ -269,6 +349,76 @@ def _with_fields(hits, rows, ids, output_fields, query_id, bound):
     return hits.select(*columns, *extra)
 
 
+def _range_task(block, threshold, ids, vector, cell, schema):
+    def run(batches):
+        query_ids, queries, probes = block.value
+        everyone = np.arange(len(queries))
+        for batch in batches:
+            batch = batch.filter(batch.column(vector).is_valid())
+            if not batch.num_rows:
+                continue
+            rows, cells = V.matrix(batch.column(vector), queries.shape[1]), batch.column(cell).to_numpy()
+            for value in np.unique(cells):
+                at = np.flatnonzero(cells == value)
+                members = probes.get(int(value), everyone[:0])
+                step = max(1, SCORES // max(1, len(members)))
+                for begin in range(0, len(at) if len(members) else 0, step):
+                    part = at[begin:begin + step]
+                    scores = V.score_matrix(rows[part], queries[members], "COSINE")
+                    row, member = np.nonzero(scores > threshold)
+                    fields = batch.drop_columns([vector, cell]).take(pa.array(part[row])).columns
+                    columns = [query_ids.take(pa.array(members[member])), *fields[:ids],
+                               pa.array(scores[row, member]), *fields[ids:]]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return run
+
+
+def search_range(
+    corpus: DataFrame, queries: DataFrame, threshold: float, *, cell: str, query_cells: str,
+    ids: Sequence[str] = ("id",), anns_field: str = "embeddings", output_fields: Sequence[str] = (),
+    query_id: str = "query_id", query_field: str = "embeddings", block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """All corpus rows whose cosine with a query is above ``threshold``, among the cells that the query names.
+
+    Hits leave the tasks as they are found, with their output fields; nothing is ranked or shuffled. More queries
+    than a block holds are searched block after block.
+    """
+    _check_fields(output_fields, (query_id, "score"))
+    spark = corpus.sparkSession
+    extra = [name for name in output_fields if name not in ids]
+    needed = corpus.select(*ids, *extra, anns_field, cell)
+    schema = T.StructType([
+        queries.schema[query_id], *[corpus.schema[name] for name in ids], T.StructField("score", T.DoubleType()),
+        *[corpus.schema[name] for name in extra]])
+    arrow = to_arrow_schema(schema)
+    columns = (query_id, query_field, query_cells)
+    wanted = queries.select(*columns)
+
+    def hits(found):
+        block = _to_block(found, *columns)
+        if not block[2]:
+            return spark.createDataFrame([], schema)
+        task = _range_task(spark.sparkContext.broadcast(block), threshold, len(ids), anns_field, cell, arrow)
+        return _in_cells(needed, cell, block).mapInArrow(task, schema)
+
+    found = wanted.limit(FIRST_QUERIES + 1).toArrow()
+    cap = query_cap(found, query_field, query_cells, block_bytes, 1)
+    if found.num_rows > FIRST_QUERIES and cap > FIRST_QUERIES:
+        found = wanted.limit(cap + 1).toArrow()
+    if found.num_rows <= cap:
+        return hits(found)
+    numbered = ids_as_written(wanted, "__number", start=0)
+    if not numbered.groupBy(query_id).count().where("count > 1").isEmpty():
+        raise ValueError(f"queries must differ in {query_id!r}")
+    results = scratch_path(spark, "hits")
+    spark.createDataFrame([], schema).write.parquet(results)
+    for begin in range(0, numbered.count(), cap):
+        part = numbered.where(F.col("__number").between(begin, begin + cap - 1)).select(*columns).toArrow()
+        hits(part).write.mode("append").parquet(results)
+    return spark.read.schema(schema).parquet(results)
+
+
 def nearest(
     corpus: DataFrame,
     vector: Sequence[float],
@@ -281,11 +431,44 @@ def nearest(
     threshold: float | None = None,
     output_fields: Sequence[str] = (),
 ) -> DataFrame:
-    """``search`` for one given vector, in the order of the rank; output fields are fetched for the hits
-    alone."""
-    query = corpus.sparkSession.createDataFrame(
-        [(0, [float(x) for x in vector])], "__query int, __vector array<double>")
-    hits = search(
-        corpus, query, k, metric=metric, anns_field=anns_field, ids=ids, expr=expr, threshold=threshold,
-        output_fields=output_fields, query_id="__query", query_field="__vector")
-    return hits.orderBy("rank").select(*ids, *output_fields, "score")
+    """``search`` for one given vector, in the order of the rank.
+
+    Tasks score ids and vectors only and hand on the rows of each batch that can be among the best ``k``;
+    output fields are fetched for the hits alone.
+    """
+    V.check_metric(metric)
+    if k <= 0:
+        raise ValueError("k must be positive")
+    _check_fields(output_fields, ("rank", "score"))
+    spark, rows = corpus.sparkSession, corpus.where(expr) if expr else corpus
+    query = np.array([[float(x) for x in vector]])
+    schema = T.StructType([*[rows.schema[name] for name in ids], T.StructField("score", T.DoubleType())])
+    arrow, keys, sign = to_arrow_schema(schema), list(ids), 1.0 if V.METRICS[metric] else -1.0
+
+    def score(batches):
+        for batch in batches:
+            batch = batch.filter(batch.column(anns_field).is_valid())
+            scores = V.score_matrix(V.matrix(batch.column(anns_field), query.shape[1]), query, metric)[:, 0]
+            wanted = np.isfinite(scores)
+            if threshold is not None:
+                wanted &= sign * scores > sign * threshold
+            at = np.flatnonzero(wanted)
+            if len(at) > k:
+                merit = sign * scores[at]
+                at = at[merit >= np.partition(merit, len(at) - k)[len(at) - k]]
+            found = batch.select(keys).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*found.columns, pa.array(scores[at])], schema=arrow)
+
+    best = F.col("score").desc() if V.METRICS[metric] else F.col("score").asc()
+    order = [best, *(F.col(name) for name in ids)]
+    hits = rows.select(*ids, anns_field).mapInArrow(score, schema).orderBy(*order).limit(k)
+    extra = [name for name in output_fields if name not in ids]
+    if not extra:
+        return hits.select(*ids, *output_fields, "score")
+    if k <= BROADCAST_HITS:
+        # Few rows, whose ids the scan for the fields can then be told.
+        found = hits.toArrow()
+        hits = F.broadcast(spark.createDataFrame(found, schema))
+        if k <= LISTED_HITS and len(ids) == 1:
+            rows = rows.where(F.col(ids[0]).isin(found.column(0).to_pylist()))
+    return rows.select(*ids, *extra).join(hits, list(ids)).orderBy(*order).select(*ids, *output_fields, "score")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagetrove.functions import text as X
 from pagetrove.functions import vectors as V
-from pagetrove.operators import chunking, embedding, index, numbering, report
+from pagetrove.operators import chunking, embedding, index, numbering, report, tree_index
 from pagetrove.operators import search as nn
 from pagetrove.plans import steps
 from pagetrove.session import scratch_path, settled, spread, table
@@ -207,6 +207,15 @@ def hash_embed_arrow(spark, sf):
     ).select("doc_id", "bucket", F.round(F.col("x").cast("double"), 6).alias("weight"))
 
 
+def tfidf_embed(spark, sf):
+    """Weights learned from all documents, then their vectors."""
+    found = embedding.TfIdfEmbedder(DIM).fit(_documents(spark, sf), "text")
+    embedded = embedding.embed(_documents(spark, sf), found, text_col="text")
+    return embedded.select("doc_id", F.posexplode_outer("embeddings").alias("bucket", "x")).where(
+        F.col("x") > 0
+    ).select("doc_id", "bucket", F.round(F.col("x").cast("double"), 6).alias("weight"))
+
+
 def _letter_model():
     def run(texts):
         return np.array([[len(t), t.count(" "), t.count("e")] for t in texts], dtype=np.float64)
@@ -258,6 +267,19 @@ def collection_append(spark, sf):
     return _collection_facts(store.read_collection(spark, path))
 
 
+def collection_upsert(spark, sf):
+    """The embeddings, into which the mean vectors of the labels are put: those of even labels in the place of the
+    rows of these ids, the others with ids below 0."""
+    path = scratch_path(spark, "collection")
+    store.create_collection(_collection_rows(spark, sf), path)
+    id_ = F.when(F.col("cell") % 2 == 0, F.col("cell")).otherwise(F.lit(-1) - F.col("cell"))
+    store.upsert(_means(spark, sf).select(
+        id_.alias("id"), F.lit("mean").alias("page_content"),
+        X.page_metadata(F.lit("means"), F.col("cell")).alias("metadata"), F.col("centroid").alias("embeddings"),
+    ), path)
+    return _collection_facts(store.read_collection(spark, path))
+
+
 def collection_violations(spark, sf):
     """Documents without vectors and vectors without texts in one table of rows."""
     texts = table(spark, sf, "documents").select(
@@ -385,7 +407,7 @@ def knn_output_fields(spark, sf):
 
 
 def knn_single(spark, sf):
-    """One vector, the mean of all rows, against the collection, inside the JVM."""
+    """One vector, the mean of all rows, against the collection."""
     everything = _corpus(spark, sf).withColumn("all", F.lit(0))
     vector = index.mean_centroids(everything, "all").first()["centroid"]
     return nn.nearest(_corpus(spark, sf), vector, 10, ids=("vec_id",), output_fields=["label"])
@@ -414,6 +436,28 @@ def ivf_search(spark, sf):
     )
 
 
+def ivf_tree(spark, sf):
+    """Cells in two levels, all of them probed: the hits are those of the exact search."""
+    path = scratch_path(spark, "tree")
+    tree_index.build_tree(_corpus(spark, sf), path, 64, 8, ids=("vec_id",))
+    return tree_index.search_tree(spark, path, _label_queries(spark, sf), 3, 10_000, 8, ids=("vec_id",))
+
+
+def ivf_join(spark, sf):
+    """Every row is a query, in the two cells nearest to it; queries and rows meet by a shuffle."""
+    path = scratch_path(spark, "index")
+    index.build_index(_corpus(spark, sf), path, _means(spark, sf))
+    asked = _corpus(spark, sf).select(F.col("vec_id").alias("query_id"), "embeddings")
+    return index.search_index(spark, path, asked, 4, 2, ids=("vec_id",), block_bytes=1 << 16)
+
+
+def range_search(spark, sf):
+    """All rows above a threshold, from the cells that can hold any."""
+    path = scratch_path(spark, "index")
+    index.build_index(_corpus(spark, sf), path, _means(spark, sf))
+    return index.range_search(spark, path, _peak_queries(spark, sf), 0.3, ids=("vec_id",), output_fields=["label"])
+
+
 def ivf_kmeans(spark, sf):
     """Trained cells, all of them probed: the hits are those of the exact search."""
     path = scratch_path(spark, "index")
@@ -429,6 +473,13 @@ def text_search(spark, sf):
                        _md5(F.col("page_content"), "chunk_md5"))
 
 
+def tfidf_search(spark, sf):
+    """Query texts against the chunks of all documents, by vectors with weights learned from the chunks."""
+    hits = steps.text_hits(_pages(spark, sf), _texts(spark, sf), 3, SIZE, OVERLAP, "tfidf", threshold=0.3)
+    return hits.select("query_id", "rank", F.col("page").alias("doc_id"), "chunk_idx", "score",
+                       _md5(F.col("page_content"), "chunk_md5"))
+
+
 def stored_search(spark, sf):
     """The same search through a stored collection with dense ids and all cells of its index."""
     flow = steps.DocumentSearch(spark, scratch_path(spark, "stored"))
@@ -450,4 +501,5 @@ QUERIES = [
     collection_append, collection_violations, vector_dim, csv_roundtrip, summary_csv, file_scan,
     collection_append_search, knn_cosine, knn_l2, knn_l2_shifted, knn_ip, knn_filtered, knn_threshold, knn_l2_threshold, knn_output_fields,
     knn_single, ivf_assign, ivf_search, ivf_kmeans, text_search, stored_search,
+    tfidf_embed, tfidf_search, collection_upsert, ivf_join, ivf_tree, range_search,
 ]

@@ -94,13 +94,26 @@ def hashed(rows, key):
   FROM {rows}_counts)"""
 
 
-TEXT_HITS = f"""
-{WORDS},
-asked AS (
-  SELECT item_id AS query_id, list_filter(string_split({clean('text')}, ' '), lambda w: w <> '') AS tk
-  FROM benchmark),
-{hashed('chunks', 'doc_id, chunk_idx')},
-{hashed('asked', 'query_id')},
+def idf(rows):
+    """Weight of each bucket, from the counts of ``rows``."""
+    return f"""
+idf AS (
+  SELECT bucket, ln((1 + (SELECT count(*) FROM {rows})) / (1 + count(*))) + 1 AS weight
+  FROM {rows}_counts GROUP BY bucket)"""
+
+
+def weighted(rows, key):
+    """``hashed`` with the weights of the buckets; a bucket that the corpus lacks has the greatest weight."""
+    counts = hashed(rows, key).partition(f"{rows}_weights AS")[0]
+    return f"""{counts}
+{rows}_idf AS (
+  SELECT {key}, bucket, n * coalesce(weight, (SELECT ln(1 + count(*)) + 1 FROM chunks)) AS x
+  FROM {rows}_counts LEFT JOIN idf USING (bucket)),
+{rows}_weights AS (
+  SELECT {key}, bucket, (x / sqrt(sum(x * x) OVER (PARTITION BY {key})))::FLOAT::DOUBLE AS w FROM {rows}_idf)"""
+
+
+SCORED = """
 chunk_norms AS (
   SELECT doc_id, chunk_idx, sqrt(sum(w * w)) AS norm FROM chunks_weights GROUP BY ALL),
 asked_norms AS (SELECT query_id, sqrt(sum(w * w)) AS norm FROM asked_weights GROUP BY ALL),
@@ -111,6 +124,24 @@ scored AS (
   SELECT query_id, doc_id, chunk_idx, round(dot / (a.norm * c.norm), 6) AS score
   FROM dots JOIN asked_norms a USING (query_id) JOIN chunk_norms c USING (doc_id, chunk_idx))"""
 
+ASKED = f"""
+{WORDS},
+asked AS (
+  SELECT item_id AS query_id, list_filter(string_split({clean('text')}, ' '), lambda w: w <> '') AS tk
+  FROM benchmark)"""
+
+TEXT_HITS = f"""
+{ASKED},
+{hashed('chunks', 'doc_id, chunk_idx')},
+{hashed('asked', 'query_id')},
+{SCORED}"""
+
+TFIDF_HITS = f"""
+{ASKED},
+{weighted('chunks', 'doc_id, chunk_idx').replace('chunks_idf AS', idf('chunks').strip() + ',' + chr(10) + 'chunks_idf AS')},
+{weighted('asked', 'query_id')},
+{SCORED}"""
+
 MEANS = """
 parts AS (
   SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos
@@ -339,6 +370,7 @@ ranked AS (
   FROM scored)
 SELECT query_id, rank, vec_id, score, label FROM ranked WHERE rank <= 5""",
     "ivf_kmeans": knn(),
+    "ivf_tree": knn(),
     "text_search": f"""
 WITH {TEXT_HITS},
 ranked AS (
@@ -346,6 +378,52 @@ ranked AS (
   FROM scored)
 SELECT query_id, rank, doc_id, chunk_idx, score, md5(chunk) AS chunk_md5
 FROM ranked JOIN chunks USING (doc_id, chunk_idx) WHERE rank <= 3 AND score > 0.5""",
+    "tfidf_embed": f"""
+WITH {WORDS}, {hashed('words', 'doc_id')}, {idf('words')},
+weighted AS (SELECT doc_id, bucket, n * weight AS x FROM words_counts JOIN idf USING (bucket))
+SELECT doc_id, bucket::INT AS bucket,
+       round((x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE, 6) AS weight
+FROM weighted""",
+    "tfidf_search": f"""
+WITH {TFIDF_HITS},
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_idx)::INT AS rank
+  FROM scored)
+SELECT query_id, rank, doc_id, chunk_idx, score, md5(chunk) AS chunk_md5
+FROM ranked JOIN chunks USING (doc_id, chunk_idx) WHERE rank <= 3 AND score > 0.3""",
+    "collection_upsert": f"""
+WITH {MEANS},
+batch AS (
+  SELECT (CASE WHEN query_id % 2 = 0 THEN query_id ELSE -1 - query_id END)::BIGINT AS id, 'mean' AS page_content,
+         '{{"source":"means","page":' || query_id || '}}' AS metadata, len(q)::INT AS dim,
+         round(list_sum(list_transform(q::FLOAT[]::DOUBLE[], lambda x, i: x * i)), 5) AS total
+  FROM means)
+SELECT vec_id AS id, 'label ' || label AS page_content,
+       '{{"source":"embeddings","page":' || vec_id || '}}' AS metadata, len(embedding)::INT AS dim,
+       round(list_sum(list_transform(embedding::DOUBLE[], lambda x, i: x * i)), 5) AS total
+FROM embeddings WHERE vec_id NOT IN (SELECT id FROM batch)
+UNION ALL SELECT * FROM batch""",
+    "ivf_join": f"""
+WITH {MEANS},
+placed AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, query_id AS cell, row_number() OVER (PARTITION BY vec_id ORDER BY
+         round(list_cosine_similarity(q, embedding::DOUBLE[]), 6) DESC, query_id) AS rank
+  FROM means, embeddings),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.v, b.v), 6) AS score
+  FROM placed a JOIN placed b USING (cell) WHERE a.rank <= 2 AND b.rank = 1),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 4""",
+    "range_search": """
+WITH peak_parts AS (
+  SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+peaks AS (
+  SELECT label AS query_id, list(x::DOUBLE ORDER BY pos) AS p
+  FROM (SELECT label, pos, max(x) AS x FROM peak_parts GROUP BY ALL) GROUP BY label)
+SELECT query_id, vec_id, round(list_cosine_similarity(p, embedding::DOUBLE[]), 6) AS score, label
+FROM peaks, embeddings WHERE round(list_cosine_similarity(p, embedding::DOUBLE[]), 6) > 0.3""",
     "stored_search": f"""
 WITH {TEXT_HITS},
 numbered AS (

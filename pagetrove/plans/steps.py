@@ -19,7 +19,8 @@ class DocumentSearch:
     """Extract, chunk, embed and store, retrieve.
 
     ``collection`` is the path under which the store step keeps the indexed collection. One embedder
-    serves chunks and queries.
+    serves chunks and queries. One that is fitted to the corpus, as ``tfidf`` is, learns from the chunks that are
+    stored, and is kept with them, so that another object over the same path uses the same weights.
     """
 
     def __init__(self, spark: SparkSession, collection: str, kind="hash", model: str | None = None):
@@ -68,6 +69,9 @@ class DocumentSearch:
         """Number the chunks densely in the order they come in, embed them, store the collection and
         its index, for which rows are gathered by cell. The stored collection is returned."""
         numbered = numbering.ids_as_written(chunks)
+        if hasattr(self.embedder, "fit"):
+            self.embedder = self.embedder.fit(numbered)
+            self.embedder.save(self.spark, self._model)
         embedded = embedding.embed(numbered, self.embedder)
         dim = getattr(self.embedder, "dim", None)
         store.create_collection(embedded, f"{self.collection}/rows", dim)
@@ -75,18 +79,40 @@ class DocumentSearch:
         index.build_index(stored, f"{self.collection}/index", centroids, nlist)
         return stored
 
+    @property
+    def _model(self):
+        return f"{self.collection}/model"
+
+    def _fitted(self):
+        """The embedder, with the weights that are stored with the collection."""
+        if hasattr(self.embedder, "fit") and self.embedder.bucket_weights is None:
+            self.embedder = type(self.embedder).load(self.spark, self._model)
+        return self.embedder
+
     def add(self, chunks: DataFrame) -> DataFrame:
         """Add chunks to the stored collection and its index, so that both kinds of search find them.
-        Ids go on after the greatest one. Returns the rows added."""
+        Ids go on after the greatest one. Returns the rows added. Should it fail between the two, ``repair``
+        brings the index up to date."""
         rows = store.read_collection(self.spark, f"{self.collection}/rows")
         greatest = rows.agg(F.max("id")).first()[0]
         numbered = numbering.ids_as_written(chunks, start=1 if greatest is None else greatest + 1)
-        embedded = settled(embedding.embed(numbered, self.embedder), "added")
+        embedded = settled(embedding.embed(numbered, self._fitted()), "added")
         store.insert(embedded, f"{self.collection}/rows")
         columns = rows.columns
         index.append_to_index(store.typed(embedded).select(columns), f"{self.collection}/index")
         return embedded
 
+    def repair(self) -> int:
+        """Put rows of the collection that its index lacks into the index. Returns how many there were."""
+        rows = store.read_collection(self.spark, f"{self.collection}/rows")
+        path = f"{self.collection}/index"
+        missing = settled(rows.join(index.read_cells(self.spark, path).select("id"), "id", "left_anti")
+                          .select(rows.columns), "missing")
+        count = missing.count()
+        if count:
+            index.append_to_index(missing, path)
+        return count
+
     def retrieve(
         self, query: str | DataFrame, threshold: float | None = None, limit: int | None = None,
         expr: str | None = None, output_fields: Sequence[str] | None = None,
@@ -96,7 +122,7 @@ class DocumentSearch:
         """Hits for a query text, or for a table of (query_id, text). None means the default."""
         if isinstance(query, str):
             query = self.spark.createDataFrame([(0, query)], "query_id long, text string")
-        queries = embedding.embed(query, self.embedder, text_col="text")
+        queries = embedding.embed(query, self._fitted(), text_col="text")
         options = {
             "threshold": nn.THRESHOLD if threshold is None else threshold,
             "expr": expr,
@@ -124,6 +150,8 @@ def text_hits(
     """
     found = embedding.embedder(kind)
     chunks = chunking.chunk(pages, size, overlap, chunking.TOKENS)
+    if hasattr(found, "fit") and found.bucket_weights is None:
+        found = found.fit(chunks)
     corpus = embedding.embed(chunks, found)
     asked = embedding.embed(queries, found, text_col="text")
     hits = settled(

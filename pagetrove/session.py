@@ -30,13 +30,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     The folder lies under ``spark.checkpoint.dir``, which every executor of the cluster can reach, so
     what is written there outlives the executor that wrote it. Without that setting it lies in the
-    warehouse folder, which is shared as well.
+    warehouse folder, if there is one machine only; on a cluster the setting has to be there.
     """
     return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def _scratch_root(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
 
 
@@ -47,12 +52,26 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put one folder in the place of another."""
+    """Put one folder in the place of another.
+
+    The old folder is set aside, not deleted, until the new one is in its place; if that fails it goes
+    back, and an error tells so.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    drop_folder(spark, target)
-    if not system.rename(path(source), path(target)):
-        raise OSError(f"{source} could not be moved to {target}")
+    aside = f"{target.rstrip('/')}-old-{uuid.uuid4().hex}"
+    had = system.exists(path(target))
+    if had and not system.rename(path(target), path(aside)):
+        raise OSError(f"{target} could not be set aside")
+    try:
+        if not system.rename(path(source), path(target)):
+            raise OSError(f"{source} could not be moved to {target}")
+    except BaseException:
+        if had and not system.rename(path(aside), path(target)):
+            raise OSError(f"{source} could not be moved to {target}, whose old content is in {aside}")
+        raise
+    if had:
+        system.delete(path(aside), True)
 
 
 def drop_scratch(spark: SparkSession) -> None:

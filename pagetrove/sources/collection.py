@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from pagetrove.functions import vectors as V
-from pagetrove.session import drop_folder, replace_folder, scratch_path
+from pagetrove.session import drop_folder, replace_folder, scratch_path, settled
 
 # Columns of a collection and the greatest length of a text, in bytes.
 SCHEMA = T.StructType([
@@ -19,6 +19,9 @@ SCHEMA = T.StructType([
 ])
 MAX_TEXT = 5000
 
+# The ids of a batch are broadcast up to this many.
+BROADCAST_IDS = 1_000_000
+
 
 def _is_path(target):
     return "/" in target
@@ -106,29 +109,86 @@ def _checked(df, dim):
     return typed(df).withColumn("id", sound.cast("long"))
 
 
+def _switch(spark, beside, target):
+    """Put the written rows in the place of a collection, which is there until they are."""
+    if _is_path(target):
+        replace_folder(spark, beside, target)
+        return
+    mark = uuid.uuid4().hex
+    made, aside = f"{target}_new_{mark}", f"{target}_old_{mark}"
+    spark.read.schema(SCHEMA).parquet(beside).write.saveAsTable(made)
+    had = spark.catalog.tableExists(target)
+    try:
+        if had:
+            spark.sql(f"ALTER TABLE {target} RENAME TO {aside}")
+        spark.sql(f"ALTER TABLE {made} RENAME TO {target}")
+    except BaseException:
+        if had and spark.catalog.tableExists(aside):
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+        spark.sql(f"DROP TABLE IF EXISTS {made}")
+        raise
+    if had:
+        spark.sql(f"DROP TABLE {aside}")
+
+
+def _replace(rows, target):
+    spark = rows.sparkSession
+    beside = f"{target.rstrip('/')}-new-{uuid.uuid4().hex}" if _is_path(target) else scratch_path(spark, "collection")
+    try:
+        rows.write.parquet(beside)
+        _switch(spark, beside, target)
+    finally:
+        drop_folder(spark, beside)
+
+
 def create_collection(df: DataFrame, target: str, dim: int | None = None) -> None:
     """Create or replace a collection. The dimension is that of the first row if none is given.
 
     Rules on single rows are checked while the rows are written, without a pass of their own. They are
-    written beside the old collection, which is replaced only when all of them are sound.
+    written beside the old collection, which is replaced only when all of them are sound, and which is kept until
+    then whatever fails.
     """
-    spark, sound = df.sparkSession, _checked(df, dim)
-    if _is_path(target):
-        beside = f"{target.rstrip('/')}-new-{uuid.uuid4().hex}"
-        try:
-            sound.write.parquet(beside)
-            replace_folder(spark, beside, target)
-        finally:
-            drop_folder(spark, beside)
-        return
-    beside = scratch_path(spark, "collection")
-    sound.write.parquet(beside)
-    spark.read.schema(SCHEMA).parquet(beside).write.mode("overwrite").saveAsTable(target)
-    drop_folder(spark, beside)
+    _replace(_checked(df, dim), target)
+
+
+def _new_batch(df, target):
+    """(rows, stored): a batch, checked and written, and the collection it is for. Its ids must differ."""
+    stored = read_collection(df.sparkSession, target)
+    rows = settled(_checked(df, _first_dimension(stored)), "batch")
+    twice = [row["id"] for row in rows.groupBy("id").count().where("count > 1").select("id").limit(3).collect()]
+    if twice:
+        raise ValueError(f"ids occur more than once in the batch: {twice} and perhaps others")
+    return rows, stored
+
+
+def _ids(rows):
+    """The ids of a batch, for a join that shuffles the stored ids only if the batch is large."""
+    ids = rows.select("id")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def insert(df: DataFrame, target: str) -> None:
-    """Append a batch to a collection, under the collection's dimension."""
-    writer = _checked(df, _first_dimension(read_collection(df.sparkSession, target))).write
-    writer = writer.mode("append")
+    """Append a batch to a collection, under the collection's dimension.
+
+    Ids are a key: one that occurs twice in the batch, or that is stored already, is an error, and nothing
+    is written. Of the stored rows only the ids are read for it. Writers that append at the same time are not
+    kept apart; ``collection_violations`` finds what they do to each other.
+    """
+    rows, stored = _new_batch(df, target)
+    known = stored.select("id").join(_ids(rows), "id", "left_semi")
+    known = [row["id"] for row in known.limit(3).collect()]
+    if known:
+        raise ValueError(f"ids are stored already: {known} and perhaps others")
+    writer = rows.write.mode("append")
     writer.parquet(target) if _is_path(target) else writer.saveAsTable(target)
+
+
+def upsert(df: DataFrame, target: str) -> None:
+    """Put a batch into a collection: rows with stored ids take their place, others are added. An id that occurs
+    twice in the batch is an error.
+
+    A Parquet folder has no rows that could be changed in place, so the collection is written anew, beside the
+    old one, and switched. Batches are therefore best collected before.
+    """
+    rows, stored = _new_batch(df, target)
+    _replace(typed(stored).join(_ids(rows), "id", "left_anti").select(rows.columns).unionByName(rows), target)

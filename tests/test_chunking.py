@@ -136,3 +136,10 @@ def test_bad_parameters(spark, size, overlap, splitter):
 def test_model_tokens_need_a_tokenizer(spark):
     with pytest.raises(ValueError):
         C.chunk(pages(spark, ["a"]), 5, 1, C.MODEL_TOKENS)
+
+
+def test_character_windows_of_blank_and_wide_texts(spark):
+    texts = ["\n\n\t\n", "  　", None, "", "ab𝄞déf", " x "]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page int, page_content string")
+    rows = C.chunk_characters(pages, 4, 1).sort("page", "chunk_idx").collect()
+    assert [(r.page, r.page_content) for r in rows] == [(4, "ab𝄞d"), (4, "déf"), (5, " x ")]

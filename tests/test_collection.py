@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pagetrove.session import replace_folder
 from pagetrove.sources import collection as C
 from pagetrove.sources import tables
 
@@ -83,3 +84,62 @@ def test_csv_keeps_line_breaks_quotes_and_nulls(spark, tmp_path):
     back = tables.read_csv(spark, str(tmp_path / "csv"), flat)
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
     assert spark.read.text(str(tmp_path / "csv")).where(F.col("value").contains("x, y")).count() == 1
+
+
+def test_ids_are_a_key(spark, target):
+    C.create_collection(spark.createDataFrame(ROWS, SCHEMA), target)
+    for batch in ([(2, "again", None, [0.0, 1.0])], [(7, "a", None, [0.0, 1.0]), (7, "b", None, [0.0, 1.0])]):
+        with pytest.raises(ValueError, match="ids"):
+            C.insert(spark.createDataFrame(batch + [(9, "n", None, [0.0, 1.0])], SCHEMA), target)
+        assert sorted(r.id for r in C.read_collection(spark, target).collect()) == [1, 2]
+    C.insert(spark.createDataFrame([], SCHEMA), target)
+    assert C.read_collection(spark, target).count() == 2
+
+
+def test_upsert(spark, target):
+    C.create_collection(spark.createDataFrame(ROWS, SCHEMA), target)
+    C.upsert(spark.createDataFrame([(2, "new", None, [0.0, 1.0]), (3, "more", None, [2.0, 1.0])], SCHEMA), target)
+    rows = {r.id: (r.page_content, r.embeddings) for r in C.read_collection(spark, target).collect()}
+    assert rows == {1: ("a", [1.0, 2.0]), 2: ("new", [0.0, 1.0]), 3: ("more", [2.0, 1.0])}
+    with pytest.raises(ValueError, match="more than once"):
+        C.upsert(spark.createDataFrame([(5, "a", None, [0.0, 1.0])] * 2, SCHEMA), target)
+    with pytest.raises(Exception, match="wrong_dimension"):
+        C.upsert(spark.createDataFrame([(5, "a", None, [0.0])], SCHEMA), target)
+    assert C.read_collection(spark, target).count() == 3
+
+
+def test_many_ids_are_joined_without_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(C, "BROADCAST_IDS", 0)
+    path = str(tmp_path / "c")
+    C.create_collection(spark.createDataFrame(ROWS, SCHEMA), path)
+    with pytest.raises(ValueError, match="stored already"):
+        C.insert(spark.createDataFrame(ROWS[:1], SCHEMA), path)
+
+
+def test_a_failed_switch_keeps_the_old_rows(spark, target, monkeypatch):
+    C.create_collection(spark.createDataFrame(ROWS, SCHEMA), target)
+    run = type(spark).sql
+
+    def fails(session, query, *args, **kwargs):
+        if "_new_" in query and "RENAME" in query:
+            raise OSError("broken in the middle")
+        return run(session, query, *args, **kwargs)
+
+    def no_folder(session, source, destination):
+        replace_folder(session, source + "-not-there", destination)
+
+    monkeypatch.setattr(type(spark), "sql", fails)
+    monkeypatch.setattr(C, "replace_folder", no_folder)
+    with pytest.raises(Exception, match="not-there|in the middle"):
+        C.create_collection(spark.createDataFrame(ROWS[:1], SCHEMA), target)
+    monkeypatch.undo()
+    assert sorted(r.id for r in C.read_collection(spark, target).collect()) == [1, 2]
+    C.create_collection(spark.createDataFrame(ROWS[:1], SCHEMA), target)
+    assert C.read_collection(spark, target).count() == 1
+
+
+def test_nothing_is_left_beside(spark, tmp_path):
+    path = str(tmp_path / "c")
+    for _ in range(2):
+        C.create_collection(spark.createDataFrame(ROWS, SCHEMA), path)
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["c"]

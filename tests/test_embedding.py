@@ -63,3 +63,22 @@ def test_similarity_columns(spark):
     df = spark.createDataFrame([([1.0, 2.0], [2.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])], "a array<float>, b array<float>")
     for metric, values in {"COSINE": [0.8, 0.0], "IP": [4.0, 0.0], "L2": [2.0, 2.0]}.items():
         assert [r[0] for r in df.select(V.similarity(F.col("a"), F.col("b"), metric)).collect()] == values
+
+
+def test_tfidf(spark, texts, tmp_path):
+    fitted = E.TfIdfEmbedder(16).fit(texts)
+    held = sum(expected(t, 16) > 0 for t in TEXTS)
+    weights = np.log((1 + len(TEXTS)) / (1 + held)) + 1
+    assert np.allclose(fitted.bucket_weights, weights)
+    fitted.save(spark, str(tmp_path / "m"))
+    again = E.TfIdfEmbedder.load(spark, str(tmp_path / "m"))
+    assert again.dim == 16 and (again.bucket_weights == fitted.bucket_weights).all()
+    for row, text in zip(E.embed(texts, again).sort("id").collect(), TEXTS):
+        x = expected(text, 16) * weights
+        assert np.allclose(row.embeddings, x / (np.linalg.norm(x) or 1), atol=1e-6)
+
+
+def test_tfidf_has_to_be_fitted(spark, texts):
+    with pytest.raises(ValueError, match="fitted"):
+        E.embed(texts, "tfidf", "16")
+    assert (E.TfIdfEmbedder(4).fit(texts.limit(0)).bucket_weights == 1).all()

@@ -1,4 +1,5 @@
 import glob
+import re
 
 import numpy as np
 import pytest
@@ -125,5 +126,52 @@ def test_too_few_vectors(spark):
     assert got == {0: [1.0, 1.0]}
     got = {r.cell: list(r.centroid) for r in index.train_centroids(df.where("id = 1"), 8).collect()}
     assert got == {0: [0.0, 0.0]}
-    with pytest.raises(ValueError):
-        index.train_centroids(df.where("id > 1"), 8)
+    assert index.train_centroids(df.limit(0), 8).collect() == []
+
+
+def brute_range(vectors, threshold):
+    v = np.array(vectors, dtype=np.float64)
+    norms = np.linalg.norm(v, axis=1, keepdims=True)
+    q = QUERIES.astype(np.float64)
+    scores = (v / np.where(norms == 0, 1, norms)) @ (q / np.linalg.norm(q, axis=1, keepdims=True)).T
+    return {(int(j), int(i)) for i, j in np.argwhere(np.round(scores, 6) > threshold)}
+
+
+@pytest.mark.parametrize("threshold", [-2.0, -0.1, 0.0, 0.5, 0.9, 1.0])
+def test_range_search_is_exact(spark, queries, built, threshold):
+    hits = index.range_search(spark, built, queries, threshold, output_fields=["page_content"])
+    rows = hits.collect()
+    assert {(r.query_id, r.id) for r in rows} == brute_range(VECTORS, threshold)
+    assert all(r.score > threshold and r.page_content == f"text {r.id}" for r in rows)
+    in_blocks = index.range_search(spark, built, queries, threshold, block_bytes=1).collect()
+    assert sorted((r.query_id, r.id, r.score) for r in in_blocks) == sorted((r.query_id, r.id, r.score) for r in rows)
+
+
+def test_range_search_leaves_cells_unread(spark, queries, built):
+    def cells_read(threshold):
+        text = plan(index.range_search(spark, built, queries.where("query_id = 0"), threshold))
+        filters = re.search(r"PartitionFilters: \[(.*)\], PushedFilters", text).group(1)
+        return set(re.search(r"cell#\d+ (?:IN \(|= )([\d,]+)", filters).group(1).split(","))
+
+    assert cells_read(-2.0) == set("012345") > cells_read(0.9)
+
+
+def test_range_search_of_odd_rows(spark, tmp_path):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [0.0, 1.0])]
+    table = spark.createDataFrame(rows, "id long, embeddings array<float>")
+    path = index.build_index(table, str(tmp_path / "i"), nlist=2)
+    index.append_to_index(spark.createDataFrame([(6, [-1.0, 0.0])], table.schema), path)
+    asked = spark.createDataFrame([(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0])], "query_id int, embeddings array<float>")
+    hits = {(r.query_id, r.id) for r in index.range_search(spark, path, asked, -0.5).collect()}
+    assert hits == {(0, 1), (0, 2), (0, 5), (2, 1), (2, 2), (2, 5), (2, 6)}
+
+
+def test_an_index_may_start_empty(spark, queries, tmp_path):
+    empty = spark.createDataFrame([], "id long, embeddings array<float>")
+    path = index.build_index(empty, str(tmp_path / "i"))
+    assert index.search_index(spark, path, queries, 3).collect() == []
+    assert index.range_search(spark, path, queries, 0.1).collect() == []
+    rows = [(i, v.tolist()) for i, v in enumerate(VECTORS)]
+    index.append_to_index(spark.createDataFrame(rows, empty.schema), path, nlist=4)
+    assert index.read_cells(spark, path).count() == 400
+    assert len(index.search_index(spark, path, queries, 3, 4).collect()) == 3 * len(QUERIES)

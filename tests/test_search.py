@@ -162,3 +162,41 @@ def test_plans(corpus, queries, spark, tmp_path):
     assert "EqualTo(tag,1)" in text
     text = plan(nn.nearest(stored, QUERIES[0].tolist(), 3, expr="tag = 1"))
     assert "TakeOrderedAndProject" in text and "EqualTo(tag,1)" in text
+
+
+def test_queries_without_a_vector_have_no_hits(spark, corpus):
+    asked = spark.createDataFrame([(0, None), (1, QUERIES[1].tolist()), (2, None)], "query_id long, embeddings array<float>")
+    assert {h[0] for h in found(nn.search(corpus, asked, 3))} == {1}
+    assert {h[0] for h in found(nn.search(corpus, asked, 3, block_bytes=1))} == {1}
+    nothing = nn.search(corpus, asked.where("query_id <> 1"), 3, output_fields=["tag"])
+    assert nothing.columns == ["query_id", "rank", "id", "score", "tag"] and nothing.collect() == []
+
+
+@pytest.mark.parametrize("name", ["score", "rank", "query_id"])
+def test_output_fields_may_not_clash(corpus, queries, name):
+    named = corpus.withColumn(name, F.lit(9.5))
+    with pytest.raises(ValueError, match=name):
+        nn.search(named, queries, 2, output_fields=[name])
+
+
+def test_nearest_with_threshold_and_filter(corpus):
+    hits = nn.nearest(corpus, QUERIES[2].tolist(), 50, expr="tag = 1", threshold=0.1, output_fields=["tag"]).collect()
+    assert all(r.tag == 1 and r.score > 0.1 for r in hits)
+    assert [(-r.score, r.id) for r in hits] == sorted((-r.score, r.id) for r in hits)
+    every = nn.nearest(corpus, QUERIES[2].tolist(), 10_000, expr="tag = 1")
+    assert sorted(r.id for r in every.where("score > 0.1").collect()) == sorted(r.id for r in hits)
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "L2"])
+@pytest.mark.parametrize("rows, asked", [(50_000, 5_000), (7, 3)])
+def test_joined_search_is_block_search(spark, corpus, monkeypatch, metric, rows, asked):
+    """Cells of very different sizes; groups of a few rows and queries."""
+    monkeypatch.setattr(nn, "GROUP_ROWS", rows)
+    monkeypatch.setattr(nn, "GROUP_QUERIES", asked)
+    placed = corpus.withColumn("cell", F.when(F.col("id") % 3 > 0, 0).otherwise((F.col("id") % 7).cast("int")))
+    probing = spark.createDataFrame(
+        [(i, q.tolist(), cells) for i, (q, cells) in enumerate(zip(QUERIES, [[0], [1, 2], [0, 3, 3], [9], []] * 20))]
+        + [(999, None, [0])], "query_id long, embeddings array<float>, cells array<int>")
+    options = {"metric": metric, "cell": "cell", "query_cells": "cells", "output_fields": ["tag"]}
+    assert found(nn.search(placed, probing, 4, block_bytes=1, **options)) == found(
+        nn.search(placed, probing, 4, **options)) != []

@@ -69,3 +69,38 @@ def test_written_output(spark, flow):
     lines = [r.value for r in spark.read.text(f"{flow.output}/chunks/report").collect()]
     assert sum(" Chunk 2 " in line for line in lines) == 2
     assert len(spark.read.text(f"{flow.output}/extracted_text/report").collect()) > 5
+
+
+def pages(spark, *texts):
+    rows = [("s", i, t, "{}") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "source string, page int, page_content string, metadata string")
+
+
+@pytest.mark.parametrize("kind", ["hash", "tfidf"])
+def test_add_and_repair(spark, tmp_path, monkeypatch, kind):
+    made = DocumentSearch(spark, str(tmp_path / "s"), kind)
+    made.embed_and_store(pages(spark, "red apples", "green pears"), nlist=2)
+    # Another object over the same collection, which has to find its weights.
+    later = DocumentSearch(spark, str(tmp_path / "s"), kind)
+    added = later.add(pages(spark, "blue plums", "red plums"))
+    assert sorted(r.id for r in added.collect()) == [3, 4]
+    for exact in (True, False):
+        hits = later.retrieve("red plums", threshold=0.1, limit=9, nprobe=9, exact=exact).sort("rank").collect()
+        assert [r.page_content for r in hits][0] == "red plums" and len(hits) == 3
+    # The index is not reached.
+    monkeypatch.setattr("pagetrove.operators.index.append_to_index", None)
+    with pytest.raises(TypeError):
+        later.add(pages(spark, "yellow quinces"))
+    monkeypatch.undo()
+    assert later.retrieve("quinces", threshold=0.1, nprobe=9).collect() == []
+    assert later.repair() == 1 and later.repair() == 0
+    assert [r.id for r in later.retrieve("quinces", threshold=0.1, nprobe=9).collect()] == [5]
+
+
+@pytest.mark.parametrize("kind", ["hash", "tfidf"])
+def test_a_collection_may_start_empty(spark, tmp_path, kind):
+    made = DocumentSearch(spark, str(tmp_path / "s"), kind)
+    made.embed_and_store(pages(spark, "x").limit(0))
+    assert made.retrieve("red plums").collect() == [] and made.retrieve("red plums", exact=True).collect() == []
+    made.add(pages(spark, "red plums"))
+    assert [r.id for r in made.retrieve("red plums").collect()] == [1]
