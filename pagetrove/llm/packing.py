@@ -127,7 +127,7 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: str
         encoder = word_ids.loaded(vocabulary)
 
         def pieces():
-            for ids, texts in in_slices(batches, 256):
+            for ids, texts in in_slices(batches):
                 for doc_id, tokens in zip(ids, encoder.encode(texts)):
                     for part in cut_ids(tokens + end, capacity):
                         yield doc_id, *part

@@ -178,7 +178,7 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: str = word_id
 
     def tokens(batches):
         encoder, press = word_ids.loaded(vocabulary), zstandard.ZstdCompressor(level=1)
-        for ids, parts, texts in in_slices(batches, 256):
+        for ids, parts, texts in in_slices(batches):
             made = [press.compress(data + end) for data in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(parts, pa.int32()), pa.array(made, pa.binary())],
@@ -186,7 +186,7 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: str = word_id
 
     def counted(batches):
         unpress, counts = zstandard.ZstdDecompressor(), np.zeros(size, np.int64)
-        for (made,) in in_slices(batches, 256):
+        for (made,) in in_slices(batches):
             data = b"".join(map(unpress.decompress, made))
             counts += np.bincount(np.frombuffer(data, "<u4"), minlength=size)
         yield _dense(counts)
@@ -215,7 +215,7 @@ def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: str = word_id
                  pa.array([size], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([block], pa.binary())],
                 names=["part", "number", "first", "n_ids", "doc_ids", "block"])
 
-        for columns in in_slices(batches, 256):
+        for columns in in_slices(batches):
             for doc_id, its_part, packed in zip(*columns):
                 if ids and (its_part != part or size >= BLOCK):
                     yield made()

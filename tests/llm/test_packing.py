@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
@@ -85,3 +86,23 @@ def test_awkward_rows_and_the_test_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     bins, total = check([(r.doc_id, r.text) for r in docs.collect()], packing.pack(docs).collect())
     assert bins <= 1.03 * total / 2048 + 1
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="wrong"):
+        word_ids.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("kept", [300_000, 3])
+def test_word_ids_are_the_librarys(monkeypatch, kept):
+    """Odd characters, white space of all kinds, marks and special tokens among plain words; a tiny store."""
+    monkeypatch.setattr(word_ids, "KEPT", kept)
+    monkeypatch.setattr(word_ids, "TOGETHER", 3)
+    texts = ["", "  ", "Don't I'LL we've 'tis x's", "É é ﬁ ÅÄ İx ß ẞ Å", "a\x1cb \x1c \x00", "12'3 <|endoftext|> x<|startoftext|>y <|z",
+             "©®\xad ª²³µºÿÞþ×÷", "\xa0x　y \x85a", "’s 's “q”", "東京 ١٢ Ⅷ ½ 😀", "a\tb\nc\x0bd\x0ce\rf", "#*$%&|<> ###", "é" * 300]
+    texts += [" ".join(texts)] * 2
+    encoder = word_ids.WordIds(word_ids.VOCABULARY)
+    wanted = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert encoder.encode([t.encode() for t in texts]) == wanted
+    assert encoder.encode([]) == [] and encoder.encode([b"", b" "]) == [b"", b""]
