@@ -7,7 +7,12 @@ a cut falls on the start of an old block behind the edit; only these are encoded
 blocks in between, and the sums above these are brought up to date.
 """
 
+import json
+import os
 import zlib
+from bisect import bisect_left
+from collections.abc import Iterable
+from itertools import accumulate
 
 import pyarrow as pa
 import public_tokenizers
@@ -23,34 +28,51 @@ PATTERN = regex.compile(public_tokenizers.PATTERN)
 BLOCK = 32  # pre-tokens of a block
 LOOK = 2  # pre-tokens before an edit, and characters behind a cut, that the pattern may look at
 KEPT = 300_000  # pre-tokens whose counts are kept
-TOGETHER = 64  # texts whose new pre-tokens are encoded in one call
+TOGETHER = 64  # texts in hand
 
 _LOADED: dict[str, "PieceCounts"] = {}
 
 
+# Fixed value: the printable bytes, which the byte alphabet leaves as they are; the others follow from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = dict(zip([byte for byte in range(256) if byte not in _PRINTABLE], range(256, 512)))
+
+
 class PieceCounts:
-    """Number of tokens of each pre-token; a token never goes beyond one."""
+    """Number of tokens of each pre-token; a token never goes beyond one. Pre-tokens are cut here, so that new ones
+    go to the library's model itself, in its byte alphabet."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
+        if made.get("normalizer") or made["model"]["type"] != "BPE" or made["model"].get("dropout"):
+            raise ValueError(f"{path} is not made like {os.path.basename(VOCABULARY)}: its counts would come out wrong")
+        self.tokenize = Tokenizer.from_file(path).model.tokenize
         self.known: dict[str, int] = {}
 
-    def learn(self, pieces: set[str]) -> None:
-        new = list(pieces.difference(self.known))
-        if new:
-            made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update(zip(new, map(len, made)))
+    def learn(self, pieces: Iterable[str]) -> None:
+        tokenize, known, blank = self.tokenize, self.known, chr(_BYTES[ord(" ")])
+        for piece in pieces:
+            if piece in known:
+                continue
+            if piece.isascii() and piece.isprintable():
+                as_bytes = piece.replace(" ", blank)
+            else:
+                as_bytes = piece.encode(errors="replace").decode("latin-1").translate(_BYTES)
+            known[piece] = len(tokenize(as_bytes))
 
     def forget(self) -> None:
         if len(self.known) > KEPT:
             self.known.clear()
 
     def __call__(self, pieces: list[str]) -> list[int]:
-        self.learn(set(pieces))
-        return list(map(self.known.__getitem__, pieces))
+        counts = list(map(self.known.get, pieces))
+        if None in counts:
+            self.learn(pieces)
+            counts = list(map(self.known.__getitem__, pieces))
+        return counts
 
 
 def loaded(path: str = VOCABULARY) -> PieceCounts:
@@ -140,13 +162,16 @@ class TokenTree:
         made, at, met = [], 0, None
         while met is None:
             complete = last == len(self.blocks)
-            for match in PATTERN.finditer(text, at):
-                met = meets.get(match.start())
-                # With more text a cut near the end may turn out otherwise.
-                if met is not None or not complete and match.end() + LOOK >= len(text):
-                    break
-                made.append(match.group())
-                at = match.end()
+            found = PATTERN.findall(text, at)
+            starts = list(accumulate(map(len, found), initial=at))
+            # With more text a cut near the end may turn out otherwise.
+            sure = len(found) if complete else bisect_left(starts, len(text) - LOOK, 1) - 1
+            meeting = [(i, block) for place, block in meets.items()
+                       if (i := bisect_left(starts, place)) < len(found) and i <= sure and starts[i] == place]
+            if meeting:
+                sure, met = min(meeting)
+            made += found[:sure]
+            at = starts[sure]
             if complete and met is None:
                 met = last
             if met is None:
@@ -200,7 +225,7 @@ def count_edits(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             rows = []
             cut = [PATTERN.findall(text or "") for text in texts]
             counts.forget()
-            counts.learn(set().union(*cut))  # many new pre-tokens in one call
+            counts.learn(set().union(*cut))
             for doc_id, text, changes, pieces in zip(ids, texts, edits, cut):
                 tree = TokenTree(text or "", counts, pieces)
                 before, first = tree.total, tree.encoded
