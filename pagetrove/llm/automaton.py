@@ -123,13 +123,14 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def anchors(hashes: np.ndarray, window: int, gram: int):
-    """(anchor hash, first window, last window): which windows have which anchor, as arrays."""
+    """(anchor hash, first window, last window): which windows have which anchor, as arrays. Windows in a row
+    whose anchors are equal are one entry, so that words repeated over and over make no more entries."""
     grams = _mixed(_span_hashes(hashes, gram, _BASES[0]))
     views = np.lib.stride_tricks.sliding_window_view(grams, window - gram + 1)
-    chosen = views.argmin(axis=1) + np.arange(len(views))
+    chosen = grams[views.argmin(axis=1) + np.arange(len(views))]
     first = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
     last = np.append(first[1:], len(chosen)) - 1
-    return grams[chosen[first]].view(np.int64), first, last
+    return chosen[first].view(np.int64), first, last
 
 
 def _anchor_rows(window, gram):
@@ -167,11 +168,12 @@ def cut_repeats(docs: DataFrame, finish: Callable[[bytes, np.ndarray | None], tu
     ``finish`` gets a text and a mask of those of its words that are to go (None if there are none), and
     returns the new values. Windows are judged on the input. A null text has no words; rows without a doc_id
     neither lose words nor make others lose any; rows that share a doc_id don't cut each other, and
-    rows that repeat are treated alike. An empty table gives no rows.
+    rows that repeat are treated alike. A column of ``docs`` with the name of a new one gives way to it. An empty
+    table gives no rows.
     """
     fields = T.StructType.fromDDL(schema)
     names, types = fields.names, [f.type for f in to_arrow_schema(fields)]
-    others = [c for c in docs.columns if c != "text"]
+    others = [c for c in docs.columns if c == "doc_id" or c not in ("text", *names)]
     keyed = docs.select(*others, F.xxhash64("text").alias("__key"), utf8("text").alias("__text"))
     rows = settled(keyed.select("doc_id", "__key", "__text").mapInArrow(
         _anchor_rows(window, gram), "anchor long, doc_id long, text_key long"), "anchors")

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import duckdb
 import pytest
@@ -63,6 +64,26 @@ def test_random_overlaps(spark, shard):
                   key=str) == plain(rows, 10)
 
 
+def test_words_repeated_over_and_over():
+    """One entry, whatever the period, and so one passage instead of one for every word."""
+    for period in (1, 2, 7):
+        hashes = automaton.word_hashes([b"w%d" % (i % period) for i in range(200_000)])
+        tracemalloc.start()
+        names, first, last = automaton.anchors(hashes, 50, 16)
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert len(names) == 1 and (first[0], last[0]) == (0, 200_000 - 50) and peak < 200 << 20
+
+
+def test_long_equal_texts(spark):
+    rows = [(1, "word " * 20_000), (2, "word " * 20_000), (3, "word " * 70), (4, "x " * 60 + "word " * 49), (5, "a b " * 900),
+            (6, "b a " * 30)]
+    docs = spark.createDataFrame([(i, t, 9) for i, t in rows], "doc_id long, text string, n_words int")
+    found = automaton.cut_repeats(docs, queries._digest, queries._DIGEST)
+    assert found.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    assert sorted(map(tuple, found.collect()), key=str) == plain(rows, 50)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert automaton.cut_repeats(docs, queries._digest, queries._DIGEST).collect() == []
