@@ -17,11 +17,11 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from pagetrove.llm.common import map_slices, utf8, word_bounds
+from pagetrove.llm.common import map_slices, same_row, utf8, word_bounds
 from pagetrove.llm.components import connected, spanning
 from pagetrove.session import settled
 
@@ -51,16 +51,18 @@ def fingerprint(text: bytes, width: int) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, code): the SimHash of every text as a signed long. Null counts as the empty text,
-    whose code is 0."""
+def fingerprints(docs: DataFrame, width: int = 3, *more: Column) -> DataFrame:
+    """(doc_id, code) and the long columns ``more``: the SimHash of every text as a signed long. Null counts as the
+    empty text, whose code is 0."""
+    names = docs.select(*more).columns
 
     def work(columns):
-        ids, texts = columns
+        ids, texts, *rest = columns
         codes = np.array([fingerprint(text, width) for text in texts], dtype=np.uint64)
-        return [ids, codes.view(np.int64)]
+        return [ids, codes.view(np.int64), *rest]
 
-    return map_slices(docs.select("doc_id", utf8("text")), work, "doc_id long, code long")
+    schema = ", ".join(["doc_id long, code long", *(f"{name} long" for name in names)])
+    return map_slices(docs.select("doc_id", utf8("text"), *more), work, schema)
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -292,7 +294,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, limit: int = 3, pieces: int
     and never name a component (null if nothing else is in it). Null and blank texts have fingerprint
     zero and are linked by it. Rows that repeat give rows that repeat. An empty table gives none.
     """
-    prints = settled(fingerprints(docs, width), "simhash-codes")
+    return _grouped(fingerprints(docs, width), limit, pieces).select(
+        "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _grouped(prints: DataFrame, limit: int, pieces: int) -> DataFrame:
+    """Rows with fingerprints (doc_id, code, any others), with the component_id of their code."""
+    prints = settled(prints, "simhash-codes")
     codes = settled(prints.groupBy("code").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = connected(code_links(codes, limit, pieces))
     # Codes without a link are their own root.
@@ -300,15 +308,16 @@ def near_duplicates(docs: DataFrame, width: int = 3, limit: int = 3, pieces: int
         "code", "least", F.coalesce("root", "code").alias("root"))
     # Written, so that the join has two plain shuffles, of which Spark can split a large component.
     named = settled(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-named")
-    by_code = rooted.join(named, "root").select("code", "component_id")
-    return prints.join(by_code, "code").select(
-        "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(rooted.join(named, "root").select("code", "component_id"), "code")
 
 
 def keep_first(docs: DataFrame, width: int = 3, limit: int = 3, pieces: int = 5) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row with its smallest
-    doc_id stays. Rows with a null doc_id stay, as no other row can be named in their place; of
-    repeated rows with one doc_id all stay or go together."""
-    groups = near_duplicates(docs, width, limit, pieces)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of ``docs`` without near-duplicates: of each component the rows with its smallest doc_id stay.
+
+    A row is told by its doc_id and text, so that a text whose doc_id another text has, too, is not lost
+    with that; rows that are equal in both stay or go together. Rows with a null doc_id stay, as no other row can be
+    named in their place."""
+    key = F.xxhash64("text").alias("text_key")
+    groups = _grouped(fingerprints(docs, width, key), limit, pieces)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id", "text_key").distinct()
+    return same_row(docs, gone, "left_anti")

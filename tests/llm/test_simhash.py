@@ -56,6 +56,13 @@ def test_awkward_rows(spark):
     assert set(kept) >= {None, 3, 1, 2} and 7 not in kept and 9 not in kept
 
 
+def test_no_text_is_lost_with_its_doc_id(spark):
+    a, b = "one two three four five six", "nothing of this is anywhere else at all"
+    rows = [(1, a, 1), (5, a, 2), (5, b, 3), (5, b, 4), (6, None, 5), (7, None, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    assert sorted(r.n for r in simhash.keep_first(docs).collect()) == [1, 3, 4, 5]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).collect() == []
