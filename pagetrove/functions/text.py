@@ -100,6 +100,11 @@ def page_metadata(source: Column, page: Column) -> Column:
     return F.to_json(F.struct(source.alias("source"), page.alias("page")))
 
 
+def metadata_variant(metadata: Column) -> Column:
+    """JSON metadata as a VARIANT, parsed once; null where the text is no JSON."""
+    return F.try_parse_json(metadata)
+
+
 def metadata_field(metadata: Column, key: str, as_type: str = "string") -> Column:
     """One top-level field of JSON metadata, null where the key is missing."""
     return F.get_json_object(metadata, f"$.{key}").cast(as_type)

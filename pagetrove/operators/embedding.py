@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from pagetrove.functions import text as X
 from pagetrove.functions import vectors as V
+from pagetrove.session import settled
 
 HASH_DIM = 256
+# A text with more than this share of all rows is hot; there are fewer hot texts than its inverse.
+HOT_SHARE = 1e-3
 
 
 def _counts_to_unit_vectors(dim, weights=None):
@@ -157,3 +160,40 @@ def embed(
 ) -> DataFrame:
     """Add the vector of a text column. Queries and chunks go through the same function."""
     return df.withColumn(out, embedder(kind, model).column(F.col(text_col)))
+
+
+def embed_distinct(
+    df: DataFrame, kind="hash", model: str | None = None,
+    text_col: str = "page_content", out: str = "embeddings",
+) -> DataFrame:
+    """``embed``, but equal texts go through the model once, null as a text of its own. Worth it if the model is
+    costly and texts repeat, since texts are shuffled for it.
+
+    ``df`` is read twice, so it is best a written table. Vectors meet their rows by the texts' SHA-256. Those of
+    hot texts are broadcast, at most ``1 / HOT_SHARE`` of them, so that no task gets more than that share of rows
+    for one text; all others by a shuffle.
+    """
+    texts = df.groupBy(F.col(text_col).alias("__text")).agg(F.count("*").alias("__rows"))
+    vectors = texts.select(_text_key(F.col("__text")).alias("__key"), "__rows",
+                           embedder(kind, model).column(F.col("__text")).alias(out))
+    # Written, so that no text is embedded again for a second use.
+    vectors = settled(vectors, "vectors")
+    rows = vectors.agg(F.sum("__rows")).first()[0] or 0
+    hot = F.col("__rows") > HOT_SHARE * rows
+    names = [name for name in df.columns if name != out]
+    keyed = df.select(*names, _text_key(F.col(text_col)).alias("__key"))
+    found = F.broadcast(vectors.where(hot).select("__key", F.struct(F.col(out).alias("vector")).alias("__hot")))
+    keyed = keyed.join(found, "__key", "left")
+    # Rows that are done need no partner; a null key has none, and is dealt over all tasks by the salt.
+    rest = vectors.where(~hot).select(F.col("__key").alias("__cold_key"), F.lit(-1).alias("__salt"),
+                                      F.col(out).alias("__cold"))
+    done = F.col("__hot").isNotNull()
+    keyed = keyed.withColumns({
+        "__cold_key": F.when(~done, F.col("__key")),
+        "__salt": F.when(done, F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)).cast("int")).otherwise(-1)})
+    keyed = keyed.join(rest, ["__cold_key", "__salt"], "left")
+    return keyed.select(*names, F.coalesce(F.col("__hot.vector"), F.col("__cold")).alias(out))
+
+
+def _text_key(text):
+    return F.coalesce(F.sha2(text, 256), F.lit(""))

@@ -1,6 +1,6 @@
 """Per-document summary and text reports."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrove.functions import text as X
@@ -62,11 +62,15 @@ def chunk_report(chunks: DataFrame) -> DataFrame:
     )
 
 
-def write_report(blocks: DataFrame, path: str, order_col: str) -> None:
+def write_report(blocks: DataFrame, path: str, order_col: str, name: Column | None = None) -> None:
     """Write blocks as text, one folder per source.
 
-    A source's blocks are sorted over as many files as its size asks for; the files, in the order of
-    their names, make up the report.
+    With ``name`` there is a folder per name around them, such as ``text.report_name``; sources of one name
+    keep their own folders in it, so that equal file names do not mix. A source's blocks are sorted over as many
+    files as its size asks for; the files, in the order of their names, make up the report.
     """
-    (range_sorted(blocks, "source", order_col).select("source", "block")
-     .write.mode("overwrite").partitionBy("source").option("lineSep", "\n").text(path))
+    folders = ["source"] if name is None else ["report", "source"]
+    named = blocks if name is None else blocks.withColumn("report", name)
+    # Sorted by the folders first, so that the writer keeps the order.
+    (range_sorted(named, *folders, order_col).select(*folders, "block")
+     .write.mode("overwrite").partitionBy(*folders).option("lineSep", "\n").text(path))

@@ -29,9 +29,9 @@ THRESHOLD = 0.70
 BLOCK_BYTES = 64 << 20
 # Bound on the hits that a task keeps for one block, so that a large k makes blocks smaller.
 TASK_HITS = 2_000_000
-# Above this k the tasks' hits of a query are merged in so many parts first.
-PART_HITS = 1000
-MERGE_PARTS = 64
+# Rows of one query that meet in one task when hits are merged, and tasks that searches are laid out for.
+MERGE_ROWS = 5_000_000
+MOST_TASKS = 100_000
 # Queries fetched to learn their number and dimension; most searches have no more.
 FIRST_QUERIES = 1024
 # Bound on one score matrix inside a task, in elements.
@@ -137,14 +137,35 @@ def _search_block(corpus, block, k, metric, threshold, ids, vector, cell, query_
                  to_arrow_schema(T.StructType(fields)))
     needed = rows.select(*ids, vector, *([cell] if cell else []))
     partial = needed.mapInArrow(task, T.StructType(fields))
+    return _merged(partial, k, metric, ids, query_id.name)
+
+
+def merge_rounds(k: int, merge_rows: int = MERGE_ROWS, most_tasks: int = MOST_TASKS) -> list[int]:
+    """Into how many parts the tasks' hits of a query are merged, round by round, before the last merge.
+
+    A part gets the hits of at most ``merge_rows // k`` tasks, or of two, and hands on ``k``. With more than
+    ``most_tasks`` tasks the parts grow in proportion.
+    """
+    fan, parts, rounds = max(2, merge_rows // k), most_tasks, []
+    while parts > fan:
+        parts = -(-parts // fan)
+        rounds.append(parts)
+    return rounds
+
+
+def _merged(partial, k, metric, ids, query_id):
+    """The best ``k`` of the tasks' hits by query."""
     best = F.col("score").desc() if V.METRICS[metric] else F.col("score").asc()
-    if k > PART_HITS:
-        # One task would get tasks x k rows of a query, so they are ranked in parts before.
-        parts = Window.partitionBy(query_id.name, "__part").orderBy(best, *ids)
-        partial = partial.withColumn("__part", F.pmod(F.xxhash64(*ids), F.lit(MERGE_PARTS))).withColumn(
-            "rank", F.row_number().over(parts)).where(F.col("rank") <= k).drop("__part", "rank")
-    ranks = Window.partitionBy(query_id.name).orderBy(best, *ids)
-    return partial.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
+    rounds = merge_rounds(k)
+    if rounds:
+        partial = partial.withColumn("__part", F.spark_partition_id())
+    for parts in rounds:
+        # Rows of a task stay together, and so do those of a part of the round before.
+        ranks = Window.partitionBy(query_id, "__part").orderBy(best, *ids)
+        partial = partial.withColumn("__part", F.col("__part") % parts).withColumn(
+            "rank", F.row_number().over(ranks)).where(F.col("rank") <= k).drop("rank")
+    ranks = Window.partitionBy(query_id).orderBy(best, *ids)
+    return partial.drop("__part").withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
 
 
 def _to_block(found, query_id, vector, cells):

@@ -14,6 +14,7 @@ from pagetrove.plans import steps
 from pagetrove.session import scratch_path, settled, spread, table
 from pagetrove.sources import collection as store
 from pagetrove.sources import files, tables
+from pagetrove.sources.parsers import form_feed_text
 
 # Chunks of the queries, in words, and dimension of the hash vectors.
 SIZE, OVERLAP, DIM = 200, 20, 256
@@ -138,6 +139,20 @@ def report_files(spark, sf):
     return lines.groupBy("source", _md5(F.col("value"), "line_md5")).agg(F.count("*").alias("n"))
 
 
+def report_names(spark, sf):
+    """Chunk reports of sources named like files, under the names of their reports."""
+    source = F.concat(F.lit("in/"), "source", F.lit(".PDF"))
+    pages = _pages(spark, sf).withColumn("source", source)
+    # Written first, because numbering reads the chunks twice.
+    chunks = settled(chunking.chunk(pages, SIZE, OVERLAP, chunking.TOKENS), "chunks")
+    path = scratch_path(spark, "report")
+    name = X.swap_extension(F.col("source"), ".pdf", ".docx")
+    report.write_report(report.chunk_report(chunks), path, "chunk_number", name)
+    lines = spark.read.text(path)
+    return lines.groupBy("report", "source").agg(
+        F.count("*").alias("n_lines"), F.sum(F.length("value")).alias("n_chars"))
+
+
 def chunk_summary(spark, sf):
     split = chunking.with_splits(_pages(spark, sf), SIZE, OVERLAP, chunking.TOKENS)
     return report.document_summary(split, chunking.TOKENS)
@@ -233,6 +248,17 @@ def model_embed(spark, sf):
     ])
 
 
+def embed_distinct(spark, sf):
+    """The lines of all documents, of which many are equal, by a model that gets each text once."""
+    lines = settled(_documents(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")),
+                    "lines")
+    embedded = embedding.embed_distinct(lines, embedding.ModelEmbedder(_letter_model), text_col="t")
+    return embedded.select("doc_id", "line", *[
+        F.get("embeddings", F.lit(i)).cast("int").alias(name)
+        for i, name in enumerate(("n_chars", "n_blanks", "n_e"))
+    ])
+
+
 def _collection_rows(spark, sf):
     return _corpus(spark, sf).select(
         F.col("vec_id").alias("id"),
@@ -336,6 +362,28 @@ def file_scan(spark, sf):
     )
 
 
+def _even_sources(content, path):
+    """A parser that cannot read the files of every other source."""
+    number = int(re.search(r"/source=[^/]*?(\d+)/", path)[1])
+    if number % 2:
+        raise ValueError(f"source {number} cannot be read")
+    return form_feed_text(content, path)
+
+
+def file_scan_errors(spark, sf):
+    """Documents written as text files by source, then parsed; files that fail are set aside in the same pass."""
+    path = scratch_path(spark, "files")
+    (_documents(spark, sf).select("source", "text").write.partitionBy("source").option("lineSep", "\f")
+     .option("maxRecordsPerFile", 500).text(path))
+    found = files.scan_files(spark, path, ".txt", recursive=True)
+    parsed, failures = files.parse_and_set_aside(found, scratch_path(spark, "parsed"), _even_sources)
+    source = F.regexp_extract("source", "/source=([^/]+)/", 1)
+    pages = files.page_rows(parsed).select(
+        source.alias("source"), F.lit(None).cast("string").alias("error"), _md5(F.col("page_content"), "content_md5"))
+    failed = failures.select(source.alias("source"), "error", F.lit(None).cast("string").alias("content_md5")).distinct()
+    return pages.unionByName(failed).groupBy("source", "error", "content_md5").agg(F.count("*").alias("n"))
+
+
 def chunk_summary_files(spark, sf):
     """Summary over parsed documents, of which those with fewer than 400 characters have no pages."""
     source = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
@@ -406,6 +454,24 @@ def knn_output_fields(spark, sf):
     return _knn(spark, sf, output_fields=["label"])
 
 
+def knn_deep(spark, sf):
+    """So many hits that they are merged in rounds."""
+    return _knn(spark, sf, k=1000)
+
+
+def variant_filter(spark, sf):
+    """A collection with metadata as a VARIANT; search among the rows that a typed path names."""
+    path = scratch_path(spark, "collection")
+    rows = _corpus(spark, sf).select(
+        F.col("vec_id").alias("id"), F.lit("").alias("page_content"), "embeddings",
+        F.to_json(F.struct("label", F.struct(F.col("vec_id").alias("number")).alias("place"))).alias("metadata"))
+    store.create_collection(rows, path, variant=True)
+    hits = nn.search(store.read_collection(spark, path), _label_queries(spark, sf), 3,
+                     expr="variant_get(metadata, '$.label', 'int') >= 5", output_fields=["metadata"])
+    return hits.select("query_id", "rank", F.col("id").alias("vec_id"), "score",
+                       F.variant_get("metadata", "$.place.number", "long").alias("number"))
+
+
 def knn_single(spark, sf):
     """One vector, the mean of all rows, against the collection."""
     everything = _corpus(spark, sf).withColumn("all", F.lit(0))
@@ -502,4 +568,5 @@ QUERIES = [
     collection_append_search, knn_cosine, knn_l2, knn_l2_shifted, knn_ip, knn_filtered, knn_threshold, knn_l2_threshold, knn_output_fields,
     knn_single, ivf_assign, ivf_search, ivf_kmeans, text_search, stored_search,
     tfidf_embed, tfidf_search, collection_upsert, ivf_join, ivf_tree, range_search,
+    file_scan_errors, variant_filter, embed_distinct, knn_deep, report_names,
 ]

@@ -424,6 +424,31 @@ peaks AS (
   FROM (SELECT label, pos, max(x) AS x FROM peak_parts GROUP BY ALL) GROUP BY label)
 SELECT query_id, vec_id, round(list_cosine_similarity(p, embedding::DOUBLE[]), 6) AS score, label
 FROM peaks, embeddings WHERE round(list_cosine_similarity(p, embedding::DOUBLE[]), 6) > 0.3""",
+    "file_scan_errors": """
+WITH found AS (
+  SELECT source, regexp_extract(source, '\\d+')::INT AS number, md5(text) AS content_md5 FROM documents)
+SELECT source, NULL::VARCHAR AS error, content_md5, count(*) AS n FROM found WHERE number % 2 = 0 GROUP BY ALL
+UNION ALL
+SELECT DISTINCT source, 'ValueError: source ' || number || ' cannot be read', NULL::VARCHAR, 1::BIGINT
+FROM found WHERE number % 2 = 1""",
+    "variant_filter": knn(where="label >= 5", extra=", vec_id AS number"),
+    "embed_distinct": """
+SELECT doc_id, (line - 1)::INT AS line, len(t)::INT AS n_chars, (len(t) - len(replace(t, ' ', '')))::INT AS n_blanks,
+       (len(t) - len(replace(t, 'e', '')))::INT AS n_e
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS t,
+             generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents)""",
+    "knn_deep": knn(k=1000),
+    "report_names": f"""
+WITH {WORDS},
+numbered AS (
+  SELECT source, doc_id, chunk, row_number() OVER (PARTITION BY source ORDER BY doc_id, chunk_idx) AS chunk_number
+  FROM chunks),
+lines AS (
+  SELECT source, unnest(string_split(chr(10) || {STARS} || ' Chunk ' || chunk_number || ' ' || {STARS} || ' Page: '
+         || doc_id || chr(10) || chunk || chr(10), chr(10))) AS line FROM numbered)
+SELECT source || '.docx' AS report, 'in/' || source || '.PDF' AS source, count(*) AS n_lines,
+       sum(len(line))::BIGINT AS n_chars
+FROM lines GROUP BY ALL""",
     "stored_search": f"""
 WITH {TEXT_HITS},
 numbered AS (

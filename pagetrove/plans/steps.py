@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetrove.functions import text as X
 from pagetrove.operators import chunking, embedding, index, numbering, report
 from pagetrove.operators import search as nn
 from pagetrove.session import settled
@@ -28,19 +29,20 @@ class DocumentSearch:
         self.embedder = embedding.embedder(kind, model)
 
     def extract_text(
-        self, path: str, parser="PyPDFLoader", suffix: str = ".pdf", output: str | None = None
+        self, path: str, parser="PyPDFLoader", suffix: str = ".pdf", output: str | None = None,
+        most_failures: int = 0,
     ) -> DataFrame:
         """Parsed documents of a folder or file. With ``output`` they are also written there as CSV,
-        with a page report, and read back, so that no file is parsed twice."""
-        parsed = files.parse_files(files.scan_files(self.spark, path, suffix), parser)
+        with a page report, and read back, so that no file is parsed twice. Up to ``most_failures`` files that
+        cannot be parsed are then set aside, with their errors, in ``extracted_text/documents/failed=true``;
+        beyond that, and without ``output``, such a file is an error."""
+        found = files.scan_files(self.spark, path, suffix)
         if output is None:
-            return parsed
-        kept = f"{output}/extracted_text/documents"
-        parsed.write.mode("overwrite").parquet(kept)
-        parsed = self.spark.read.parquet(kept)
+            return files.parse_files(found, parser)
+        parsed, _ = files.parse_and_set_aside(found, f"{output}/extracted_text/documents", parser, most_failures)
         tables.write_csv(parsed, f"{output}/extracted_text/csv")
         blocks = report.page_report(files.page_rows(parsed))
-        report.write_report(blocks, f"{output}/extracted_text/report", "page")
+        report.write_report(blocks, f"{output}/extracted_text/report", "page", X.report_name(F.col("source")))
         return parsed
 
     def generate_chunks(
@@ -60,21 +62,25 @@ class DocumentSearch:
         split = self.spark.read.parquet(kept)
         chunks = chunking.explode_chunks(split)
         tables.write_csv(report.document_summary(split, splitter), f"{output}/doc_summary")
-        report.write_report(report.chunk_report(chunks), f"{output}/chunks/report", "chunk_number")
+        name = X.swap_extension(F.col("source"), ".pdf", ".docx")
+        report.write_report(report.chunk_report(chunks), f"{output}/chunks/report", "chunk_number", name)
         return chunks
 
     def embed_and_store(
-        self, chunks: DataFrame, nlist: int = index.NLIST, centroids: DataFrame | None = None
+        self, chunks: DataFrame, nlist: int = index.NLIST, centroids: DataFrame | None = None,
+        distinct: bool = False, variant: bool = False,
     ) -> DataFrame:
         """Number the chunks densely in the order they come in, embed them, store the collection and
-        its index, for which rows are gathered by cell. The stored collection is returned."""
+        its index, for which rows are gathered by cell. The stored collection is returned. With ``distinct``
+        equal texts are embedded once, with ``variant`` metadata is stored as a VARIANT."""
         numbered = numbering.ids_as_written(chunks)
         if hasattr(self.embedder, "fit"):
             self.embedder = self.embedder.fit(numbered)
             self.embedder.save(self.spark, self._model)
-        embedded = embedding.embed(numbered, self.embedder)
+        embed = embedding.embed_distinct if distinct else embedding.embed
+        embedded = embed(numbered, self.embedder)
         dim = getattr(self.embedder, "dim", None)
-        store.create_collection(embedded, f"{self.collection}/rows", dim)
+        store.create_collection(embedded, f"{self.collection}/rows", dim, variant)
         stored = store.read_collection(self.spark, f"{self.collection}/rows")
         index.build_index(stored, f"{self.collection}/index", centroids, nlist)
         return stored
@@ -99,7 +105,8 @@ class DocumentSearch:
         embedded = settled(embedding.embed(numbered, self._fitted()), "added")
         store.insert(embedded, f"{self.collection}/rows")
         columns = rows.columns
-        index.append_to_index(store.typed(embedded).select(columns), f"{self.collection}/index")
+        batch = store.typed(embedded, store.has_variant(rows)).select(columns)
+        index.append_to_index(batch, f"{self.collection}/index")
         return embedded
 
     def repair(self) -> int:

@@ -1,4 +1,8 @@
-"""Stored collections: id, page_content, metadata, embeddings. Addressed by path or table name."""
+"""Stored collections: id, page_content, metadata, embeddings. Addressed by path or table name.
+
+Metadata is JSON text, or a VARIANT if the collection was created so: then it is parsed once, when it is stored, and
+filters name typed paths, as in ``variant_get(metadata, '$.page', 'int') < 3``.
+"""
 
 import uuid
 
@@ -7,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from pagetrove.functions import text as X
 from pagetrove.functions import vectors as V
 from pagetrove.session import drop_folder, replace_folder, scratch_path, settled
 
@@ -88,35 +93,49 @@ def collection_violations(df: DataFrame, dim: int) -> DataFrame:
     return totals.select(F.inline(F.array(*pairs)))
 
 
-def typed(df: DataFrame) -> DataFrame:
+def has_variant(df: DataFrame) -> bool:
+    """Whether the metadata of a collection is a VARIANT."""
+    return isinstance(df.schema["metadata"].dataType, T.VariantType)
+
+
+def typed(df: DataFrame, variant: bool = False) -> DataFrame:
     """The columns of a collection, in its types."""
+    metadata = F.col("metadata")
+    if variant and not has_variant(df):
+        metadata = X.metadata_variant(metadata)
+    elif not variant and has_variant(df):
+        metadata = F.to_json(metadata)
     return df.select(
-        F.col("id").cast("long"), "page_content", "metadata", V.to_vector(F.col("embeddings"))
-        .alias("embeddings"),
+        F.col("id").cast("long"), "page_content", metadata.alias("metadata"),
+        V.to_vector(F.col("embeddings")).alias("embeddings"),
     )
 
 
-def _checked(df, dim):
+def _checked(df, dim, variant=False):
     """The collection's columns; a row that breaks a rule fails the write that reads it."""
     if dim is None:
         dim = _first_dimension(df)
     failure = F.lit(None).cast("string")
-    for name, broken in _broken(dim).items():
+    rules = _broken(dim)
+    if variant and not has_variant(df):
+        # A text that is no JSON would be lost.
+        rules["metadata_not_json"] = F.col("metadata").isNotNull() & X.metadata_variant(F.col("metadata")).isNull()
+    for name, broken in rules.items():
         text = F.concat(F.lit(f"collection rule {name} is broken by id "),
                         F.coalesce(F.col("id").cast("string"), F.lit("null")))
         failure = F.coalesce(failure, F.when(broken, text))
     sound = F.when(failure.isNotNull(), F.raise_error(failure)).otherwise(F.col("id"))
-    return typed(df).withColumn("id", sound.cast("long"))
+    return typed(df.withColumn("id", sound.cast("long")), variant)
 
 
-def _switch(spark, beside, target):
+def _switch(spark, beside, target, schema):
     """Put the written rows in the place of a collection, which is there until they are."""
     if _is_path(target):
         replace_folder(spark, beside, target)
         return
     mark = uuid.uuid4().hex
     made, aside = f"{target}_new_{mark}", f"{target}_old_{mark}"
-    spark.read.schema(SCHEMA).parquet(beside).write.saveAsTable(made)
+    spark.read.schema(schema).parquet(beside).write.saveAsTable(made)
     had = spark.catalog.tableExists(target)
     try:
         if had:
@@ -136,25 +155,26 @@ def _replace(rows, target):
     beside = f"{target.rstrip('/')}-new-{uuid.uuid4().hex}" if _is_path(target) else scratch_path(spark, "collection")
     try:
         rows.write.parquet(beside)
-        _switch(spark, beside, target)
+        _switch(spark, beside, target, rows.schema)
     finally:
         drop_folder(spark, beside)
 
 
-def create_collection(df: DataFrame, target: str, dim: int | None = None) -> None:
-    """Create or replace a collection. The dimension is that of the first row if none is given.
+def create_collection(df: DataFrame, target: str, dim: int | None = None, variant: bool = False) -> None:
+    """Create or replace a collection. The dimension is that of the first row if none is given. With ``variant``
+    metadata is stored as a VARIANT, and metadata that is no JSON breaks a rule.
 
     Rules on single rows are checked while the rows are written, without a pass of their own. They are
     written beside the old collection, which is replaced only when all of them are sound, and which is kept until
     then whatever fails.
     """
-    _replace(_checked(df, dim), target)
+    _replace(_checked(df, dim, variant), target)
 
 
 def _new_batch(df, target):
     """(rows, stored): a batch, checked and written, and the collection it is for. Its ids must differ."""
     stored = read_collection(df.sparkSession, target)
-    rows = settled(_checked(df, _first_dimension(stored)), "batch")
+    rows = settled(_checked(df, _first_dimension(stored), has_variant(stored)), "batch")
     twice = [row["id"] for row in rows.groupBy("id").count().where("count > 1").select("id").limit(3).collect()]
     if twice:
         raise ValueError(f"ids occur more than once in the batch: {twice} and perhaps others")
@@ -191,4 +211,4 @@ def upsert(df: DataFrame, target: str) -> None:
     old one, and switched. Batches are therefore best collected before.
     """
     rows, stored = _new_batch(df, target)
-    _replace(typed(stored).join(_ids(rows), "id", "left_anti").select(rows.columns).unionByName(rows), target)
+    _replace(typed(stored, has_variant(stored)).join(_ids(rows), "id", "left_anti").select(rows.columns).unionByName(rows), target)

@@ -12,7 +12,7 @@ from pagetrove.sources.parsers import parser
 
 PARSED = (
     "source string, parse_time double, "
-    "loaded_docs array<struct<page_content: string, metadata: string>>"
+    "loaded_docs array<struct<page_content: string, metadata: string>>, error string"
 )
 
 
@@ -38,19 +38,19 @@ def scan_files(
     return files
 
 
-def parse_files(files: DataFrame, parse="PyPDFLoader") -> DataFrame:
-    """One row per file: source, pages, page count, parse time, cleaned page texts.
-
-    Metadata is JSON text with at least ``source`` and ``page`` (from 0). An error of the parser
-    fails the job.
-    """
+def _parsed(files, parse, set_aside):
     parse = parser(parse)
 
     def run(batches):
         for batch in batches:
             for source, content in zip(batch["path"], batch["content"], strict=True):
-                begun = time.perf_counter()
-                pages = list(parse(content, source))
+                begun, error = time.perf_counter(), None
+                try:
+                    pages = list(parse(content, source))
+                except Exception as failure:
+                    if not set_aside:
+                        raise
+                    pages, error = [], f"{type(failure).__name__}: {failure}"
                 seconds = time.perf_counter() - begun
                 docs = []
                 for number, page in enumerate(pages):
@@ -60,16 +60,48 @@ def parse_files(files: DataFrame, parse="PyPDFLoader") -> DataFrame:
                                  "metadata": json.dumps(metadata, ensure_ascii=False)})
                 # One file per frame: a batch of parsed files has no bound of its own.
                 yield pd.DataFrame(
-                    {"source": [source], "parse_time": [seconds], "loaded_docs": [docs]}
+                    {"source": [source], "parse_time": [seconds], "loaded_docs": [docs], "error": [error]}
                 )
 
     parsed = files.select("path", "content").mapInPandas(run, PARSED)
     return parsed.select(
         "source", "loaded_docs", F.size("loaded_docs").alias("page_count"), "parse_time",
-        X.clean_pages(F.col("loaded_docs.page_content")).alias("cleaned_text"),
+        X.clean_pages(F.col("loaded_docs.page_content")).alias("cleaned_text"), "error",
     )
 
 
+def parse_files(files: DataFrame, parse="PyPDFLoader") -> DataFrame:
+    """One row per file: source, pages, page count, parse time, cleaned page texts.
+
+    Metadata is JSON text with at least ``source`` and ``page`` (from 0). An error of the parser
+    fails the job.
+    """
+    return _parsed(files, parse, False).drop("error")
+
+
+def parse_and_set_aside(
+    files: DataFrame, path: str, parse="PyPDFLoader", most_failures: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(parsed documents, failures): the rows of ``parse_files`` for the files that could be parsed, and (source,
+    error, parse_time) for those whose parser raised an error.
+
+    Every file is parsed once; both kinds of rows go to ``path`` in the same pass, in folders of their own, and
+    what was there is replaced. More than ``most_failures`` failures are an error; the rows stay for a look at
+    them. A parser that takes its whole process down still fails the job.
+    """
+    rows = _parsed(files, parse, True)
+    rows = rows.withColumn("failed", F.col("error").isNotNull())
+    rows.write.mode("overwrite").partitionBy("failed").parquet(path)
+    # With the schema given, a folder without any row is read, too.
+    back = files.sparkSession.read.schema(rows.schema).parquet(path)
+    failures = back.where("failed").select("source", "error", "parse_time")
+    if most_failures is not None:
+        count = failures.count()
+        if count > most_failures:
+            raise ValueError(f"{count} files could not be parsed, more than {most_failures}; see {path}")
+    return back.where("NOT failed").drop("error", "failed"), failures
+
+
 def page_rows(parsed: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Page table of parsed documents: source, page, page_content, metadata.
 

@@ -1,6 +1,8 @@
 import pytest
+from conftest import plan
 from pyspark.sql import functions as F
 
+from pagetrove.operators import search as nn
 from pagetrove.session import replace_folder
 from pagetrove.sources import collection as C
 from pagetrove.sources import tables
@@ -143,3 +145,44 @@ def test_nothing_is_left_beside(spark, tmp_path):
     for _ in range(2):
         C.create_collection(spark.createDataFrame(ROWS, SCHEMA), path)
     assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["c"]
+
+
+VARIANT_ROWS = [(1, "a", '{"page": 1, "who": {"name": "x"}}', [1.0, 0.0]), (2, "b", '{"page": "2"}', [0.0, 1.0]),
+                (3, "c", None, [1.0, 1.0])]
+
+
+def test_variant_metadata(spark, tmp_path):
+    path = str(tmp_path / "c")
+    C.create_collection(spark.createDataFrame(VARIANT_ROWS, SCHEMA), path, variant=True)
+    C.insert(spark.createDataFrame([(4, "d", '{"page": 7}', [2.0, 0.0])], SCHEMA), path)
+    C.upsert(spark.createDataFrame([(2, "b", '{"page": 3}', [0.0, 1.0])], SCHEMA), path)
+    stored = C.read_collection(spark, path)
+    assert C.has_variant(stored)
+    pages = stored.selectExpr("id", "variant_get(metadata, '$.page', 'int') AS page").sort("id").collect()
+    assert [tuple(r) for r in pages] == [(1, 1), (2, 3), (3, None), (4, 7)]
+    hits = nn.search(stored, spark.createDataFrame([(0, [1.0, 0.1])], "query_id int, embeddings array<float>"), 5,
+                     expr="variant_get(metadata, '$.who.name', 'string') = 'x'")
+    assert [r.id for r in hits.collect()] == [1]
+    # Back to text, in a collection without the option.
+    C.create_collection(stored, str(tmp_path / "text"))
+    text = C.read_collection(spark, str(tmp_path / "text"))
+    assert not C.has_variant(text) and text.where("id = 4").first().metadata == '{"page":7}'
+
+
+def test_variant_metadata_has_to_be_json(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", "no json", [1.0])], SCHEMA)
+    with pytest.raises(Exception, match="metadata_not_json"):
+        C.create_collection(rows, str(tmp_path / "c"), variant=True)
+    assert not C.collection_exists(spark, str(tmp_path / "c"))
+
+
+def test_variant_filter_reads_the_named_path_only(spark, tmp_path):
+    path = str(tmp_path / "c")
+    C.create_collection(spark.createDataFrame(VARIANT_ROWS, SCHEMA), path, variant=True)
+    spark.conf.set("spark.sql.variant.pushVariantIntoScan", "true")
+    try:
+        text = plan(C.read_collection(spark, path).where("variant_get(metadata, '$.page', 'int') < 3").select("id"))
+    finally:
+        spark.conf.unset("spark.sql.variant.pushVariantIntoScan")
+    # The scan reads a struct of the wanted paths in the place of the whole value.
+    assert "metadata:struct<0:int>" in text

@@ -1,4 +1,6 @@
 import hashlib
+import json
+import uuid
 
 import numpy as np
 import pytest
@@ -82,3 +84,40 @@ def test_tfidf_has_to_be_fitted(spark, texts):
     with pytest.raises(ValueError, match="fitted"):
         E.embed(texts, "tfidf", "16")
     assert (E.TfIdfEmbedder(4).fit(texts.limit(0)).bucket_weights == 1).all()
+
+
+class Logged:
+    """A model that notes the texts it gets, a file a call."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def __call__(self):
+        def run(texts):
+            (self.folder / uuid.uuid4().hex).write_text(json.dumps(texts))
+            return np.array([[-1.0 if t is None else len(t), 1.0] for t in texts])
+
+        return run
+
+
+@pytest.mark.parametrize("share", [1e-3, 0.3, 2.0])
+def test_distinct_texts_are_embedded_once(spark, tmp_path, monkeypatch, share):
+    monkeypatch.setattr(E, "HOT_SHARE", share)
+    texts = ["hot"] * 300 + ["warm"] * 40 + [None] * 30 + [""] * 20 + [f"t{i}" for i in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, page_content string").repartition(5)
+    found = E.embed_distinct(df, E.ModelEmbedder(Logged(tmp_path)))
+    rows = {r.id: r for r in found.collect()}
+    assert found.columns == ["id", "page_content", "embeddings"] and len(rows) == len(texts) == found.count()
+    assert all(rows[i].embeddings == [-1.0 if t is None else len(t), 1.0] for i, t in enumerate(texts))
+    seen = [t for file in tmp_path.iterdir() for t in json.loads(file.read_text())]
+    assert sorted(seen, key=str) == sorted(set(texts), key=str)
+
+
+def test_distinct_embedding_agrees_with_plain(spark, texts):
+    plain = {r.id: r.embeddings for r in E.embed(texts.unionAll(texts), "hash", "16").collect()}
+    found = E.embed_distinct(texts.unionAll(texts), "hash", "16").collect()
+    assert len(found) == 2 * len(TEXTS) and all(plain[r.id] == r.embeddings for r in found)
+    assert E.embed_distinct(texts.limit(0), "hash", "16").collect() == []
+    # A column of the name of the result gives way, as in the plain form.
+    again = E.embed_distinct(texts.withColumn("embeddings", F.lit(1)), "hash", "16")
+    assert again.columns == ["id", "page_content", "embeddings"] and again.count() == len(TEXTS)

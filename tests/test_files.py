@@ -5,6 +5,7 @@ import types
 import pytest
 from pyspark.sql import functions as F
 
+from pagetrove.functions import text as X
 from pagetrove.operators import report
 from pagetrove.sources import files, parsers
 
@@ -152,3 +153,40 @@ def test_summaries_agree(spark):
     one = sorted(report.document_summary(split, "m").collect(), key=str)
     two = sorted(report.summary_of(pages, chunking.explode_chunks(split), "m").collect(), key=str)
     assert one == two == sorted([("a", 2, 2, "m"), (None, 1, 0, "m"), ("c", 1, 1, "m")], key=str)
+
+
+def reads_some(content, path):
+    if b"three" in content:
+        raise RuntimeError("cannot parse three")
+    yield "page"
+    if b"one" in content:
+        raise KeyError("second page")
+
+
+def test_failures_are_set_aside_in_one_pass(spark, folder, tmp_path):
+    found = files.scan_files(spark, str(folder), recursive=True)
+    path = str(tmp_path / "parsed")
+    parsed, failures = files.parse_and_set_aside(found, path, reads_some, most_failures=2)
+    assert [r.source.rsplit("/", 1)[1] for r in parsed.collect()] == ["d.pdf"]
+    # A file that fails after its first page has failed.
+    assert sorted((r.source.rsplit("/", 1)[1], r.error) for r in failures.collect()) == [
+        ("a.pdf", "KeyError: 'second page'"), ("b.PDF", "RuntimeError: cannot parse three")]
+    assert parsed.columns == files.parse_files(found, reads_some).columns
+    with pytest.raises(ValueError, match="2 files could not be parsed"):
+        files.parse_and_set_aside(found, path, reads_some, most_failures=1)
+    good, none = files.parse_and_set_aside(found, path, "text", most_failures=0)
+    assert good.count() == 3 and none.collect() == []
+    bad, every = files.parse_and_set_aside(found, path, failing)
+    assert bad.collect() == [] and every.count() == 3
+
+
+def test_reports_of_equal_names_stay_apart(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [("x/a.pdf", i, f"x {i}") for i in range(40)] + [("y/a.pdf", i, f"y {i}") for i in range(40)],
+        "source string, page int, page_content string").repartition(7)
+    path = str(tmp_path / "report")
+    report.write_report(report.page_report(pages), path, "page", X.report_name(F.col("source")))
+    for name in "xy":
+        parts = sorted((tmp_path / "report" / "report=a_output" / f"source={name}%2Fa.pdf").glob("part-*"))
+        lines = "".join(p.read_text() for p in parts).split("\n")
+        assert [line for line in lines if line.startswith(name)] == [f"{name} {i}" for i in range(40)]

@@ -200,3 +200,23 @@ def test_joined_search_is_block_search(spark, corpus, monkeypatch, metric, rows,
     options = {"metric": metric, "cell": "cell", "query_cells": "cells", "output_fields": ["tag"]}
     assert found(nn.search(placed, probing, 4, block_bytes=1, **options)) == found(
         nn.search(placed, probing, 4, **options)) != []
+
+
+def test_merge_rounds_bound_what_meets():
+    assert nn.merge_rounds(3) == []
+    for k, rows, tasks in ((1000, 10_000, 1000), (50, 100, 10_000), (7, 3, 90)):
+        fan, parts = max(2, rows // k), tasks
+        for after in nn.merge_rounds(k, rows, tasks):
+            # Parts are dealt by their number, so none gets more than its share.
+            assert -(-parts // after) <= fan
+            parts = after
+        assert parts <= fan
+
+
+def test_merging_in_rounds_changes_nothing(corpus, queries, monkeypatch):
+    expected = sorted(nn.search(corpus, queries, 3).collect())
+    monkeypatch.setattr(nn, "MERGE_ROWS", 6)
+    monkeypatch.setattr(nn, "merge_rounds", lambda k: [5, 3, 2])
+    found = nn.search(corpus.repartition(16), queries, 3)
+    assert sorted(found.collect()) == expected
+    assert plan(found).count("Window ") >= 4

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from pagetrove.plans.steps import DocumentSearch
 from pagetrove.sources import collection as store
@@ -104,3 +105,39 @@ def test_a_collection_may_start_empty(spark, tmp_path, kind):
     assert made.retrieve("red plums").collect() == [] and made.retrieve("red plums", exact=True).collect() == []
     made.add(pages(spark, "red plums"))
     assert [r.id for r in made.retrieve("red plums").collect()] == [1]
+
+
+def picky(content, path):
+    if b"cars" in content:
+        raise ValueError("no cars")
+    return [content.decode()]
+
+
+def test_bad_files_are_set_aside(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, text in TEXTS.items():
+        (tmp_path / "in" / name).write_text(text)
+    made = DocumentSearch(spark, str(tmp_path / "s"))
+    with pytest.raises(ValueError, match="1 files could not be parsed"):
+        made.extract_text(str(tmp_path / "in"), picky, output=str(tmp_path / "out"))
+    parsed = made.extract_text(str(tmp_path / "in"), picky, output=str(tmp_path / "out"), most_failures=1)
+    assert sorted(r.source.rsplit("/", 1)[1] for r in parsed.collect()) == ["bread.PDF", "glaciers.pdf"]
+    failed = spark.read.parquet(str(tmp_path / "out" / "extracted_text" / "documents" / "failed=true"))
+    assert [r.error for r in failed.collect()] == ["ValueError: no cars"]
+
+
+def test_distinct_texts_and_variant_metadata(spark, tmp_path):
+    texts = ["red apples", "green pears", "red apples", "red apples"]
+    chunks = pages(spark, *texts).withColumn("metadata", F.format_string('{"page": %d}', "page"))
+    plain, other = (DocumentSearch(spark, str(tmp_path / name)) for name in ("plain", "other"))
+    plain.embed_and_store(chunks, nlist=2)
+    other.embed_and_store(chunks, nlist=2, distinct=True, variant=True)
+    for exact in (True, False):
+        options = {"threshold": 0.1, "limit": 9, "nprobe": 9, "exact": exact}
+        assert sorted(plain.retrieve("red apples", **options).collect()) == sorted(
+            other.retrieve("red apples", **options).collect())
+        hits = other.retrieve("red apples", expr="variant_get(metadata, '$.page', 'int') > 1", **options)
+        assert hits.count() == 2
+    other.add(chunks.where("page = 1"))
+    assert other.retrieve("green pears", threshold=0.1, limit=9, nprobe=9,
+                          expr="variant_get(metadata, '$.page', 'int') = 1").count() == 2
