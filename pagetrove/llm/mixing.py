@@ -12,6 +12,7 @@ whose table has a fixed number of rows.
 """
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,7 @@ from pagetrove.session import settled
 
 LETTERS = r"(\p{L}+)"  # what counts as a word here
 BUCKETS = 4096
-STEPS = 24
+STEPS = 24  # between two looks at whether they help
 TOLERANCE = 1e-4  # relative distance from the targets at which fitting ends
 DOMAINS = 32  # at most
 
@@ -77,65 +78,113 @@ def posteriors(docs: DataFrame, domains: list[str], priors: list[float], table:
     return chances.select("doc_id", "text_key", "n_tokens", F.transform("p", lambda x: x / share).alias("p"))
 
 
-def rate(steps: list[list[float]], least: float) -> Column:
-    """The rate of a document after the gradient steps: from 1, each step takes off its weights times
-    the posteriors ``p`` and is projected to rates of at least ``least``."""
+def rate(steps: list[list[float]], least: float, start: Column | None = None) -> Column:
+    """The rate of a document after the gradient steps: from ``start``, or 1, each step takes off its weights
+    times the posteriors ``p`` and is projected to rates of at least ``least``."""
 
     def stepped(value, weights):
         taken = reduce(lambda a, b: a + b, [F.lit(w) * F.col("p")[i] for i, w in enumerate(weights)])
         return F.greatest(F.lit(least), value - taken)
 
-    return reduce(stepped, steps, F.lit(max(1.0, least)))
+    return reduce(stepped, steps, F.lit(max(1.0, least)) if start is None else start)
 
 
-def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0,
-              budget: float | None = None) -> list[list[float]]:
-    """Gradient steps after which the domains' expected tokens have the shares ``targets``.
+def _expected(members, rates, many):
+    """Expected tokens of every domain."""
+    sums = members.agg(*[F.sum(F.col("n_tokens") * rates * F.col("p")[i]).alias(f"d{i}") for i in range(many)]).first()
+    return [sums[i] or 0.0 for i in range(many)]
 
-    ``members`` is a written table (n_tokens, p). ``budget`` is the number of tokens to end with; without
-    it as many as there are, or as many as it takes if no rate may fall below ``least``. Each domain's
-    residual is measured against its present tokens, a diagonal scaling of the gradient. Domains
-    without expected tokens cannot be matched and are left alone.
-    """
-    many = range(len(targets))
 
-    def expected(steps):
-        tokens = F.col("n_tokens") * rate(steps, least)
-        sums = members.agg(*[F.sum(tokens * F.col("p")[i]).alias(f"d{i}") for i in many]).first()
-        return [sums[i] or 0.0 for i in many]
+@dataclass
+class _Goal:
+    """What the domains' expected tokens are to be, of ``budget`` in all; ``there`` are the domains that can be
+    matched, ``scale`` their tokens at the start."""
 
-    steps: list[list[float]] = []
-    now = expected(steps)
+    wanted: list[float]
+    there: list[int]
+    scale: list[float]
+    budget: float
+
+    def residual(self, now):
+        """Greatest distance of a domain from its tokens, as a share of the budget."""
+        return max(abs(now[i] - self.wanted[i]) for i in self.there) / self.budget
+
+
+def _goal(now, targets, least, budget):
     # Below a token, a domain is not there: its share could only be met by rates without bound.
-    there = [i for i in many if now[i] >= 1.0 and targets[i] > 0]
-    total = sum(targets[i] for i in there)
+    there = [i for i, tokens in enumerate(now) if tokens >= 1.0 and targets[i] > 0]
     if not there:
-        return steps
-    shares = [targets[i] / total if i in there else 0.0 for i in many]
+        return None
+    total = sum(targets[i] for i in there)
+    shares = [target / total if i in there else 0.0 for i, target in enumerate(targets)]
     if budget is None:
         budget = sum(now)
         if least > 0:
             budget = max(budget, *[now[i] / shares[i] for i in there])
-    wanted = [share * budget for share in shares]
-    seen = list(now)
-    for _ in range(STEPS):
-        gap = [now[i] - wanted[i] for i in many]
-        if max(abs(gap[i]) for i in there) <= TOLERANCE * budget:
-            break
+    return _Goal([share * budget for share in shares], there, list(now), budget)
+
+
+def _descend(members, now, goal, least, start=None):
+    """(at most ``STEPS`` gradient steps, expected tokens after them)."""
+    steps: list[list[float]] = []
+    while len(steps) < STEPS and goal.residual(now) > TOLERANCE:
         # Tokens of a domain change by its mass times the step, whatever the rates are now.
-        steps.append([gap[i] / max(seen[i], 1.0) if seen[i] >= 1.0 else 0.0 for i in many])
-        now = expected(steps)
-    return steps
+        steps.append([(tokens - wanted) / max(scale, 1.0) if scale >= 1.0 else 0.0
+                      for tokens, wanted, scale in zip(now, goal.wanted, goal.scale)])
+        now = _expected(members, rate(steps, least, start), len(now))
+    return steps, now
+
+
+def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0,
+              budget: float | None = None) -> list[list[float]]:
+    """At most ``STEPS`` gradient steps that bring the domains' expected tokens to the shares ``targets``.
+
+    ``members`` is a written table (n_tokens, p). ``budget`` is the number of tokens to end with; without
+    it as many as there are, or as many as it takes if no rate may fall below ``least``. Each domain's
+    residual is measured against its present tokens, a diagonal scaling of the gradient. Domains
+    without expected tokens cannot be matched and are left alone.
+    """
+    now = _expected(members, rate([], least), len(targets))
+    goal = _goal(now, targets, least, budget)
+    return _descend(members, now, goal, least)[0] if goal else []
+
+
+def rated(members: DataFrame, targets: list[float], least: float = 0.0,
+          budget: float | None = None) -> tuple[DataFrame, float, bool]:
+    """(``members`` with ``rate``, residual, whether the targets are met): the steps of ``fit_rates``, for as long as
+    they help.
+
+    After every ``STEPS`` steps the rates are written and the next steps start from them, so that no expression
+    grows with their number. It ends when every domain is within ``TOLERANCE`` of its tokens, as a share of
+    the budget, or when ``STEPS`` steps take less than a tenth off the greatest distance, the residual: then the
+    targets are out of reach, as they are if a wanted domain has no expected tokens.
+    """
+    now = _expected(members, rate([], least), len(targets))
+    goal = _goal(now, targets, least, budget)
+    if goal is None:
+        return members.withColumn("rate", rate([], least)), 0.0, not any(targets)
+    start = None
+    while True:
+        before = goal.residual(now)
+        steps, now = _descend(members, now, goal, least, start)
+        after = members.withColumn("rate", rate(steps, least, start))
+        left = goal.residual(now)
+        if left <= TOLERANCE or left > 0.9 * before:
+            met = left <= TOLERANCE and len(goal.there) == sum(target > 0 for target in targets)
+            return after, left, met
+        members, start = settled(after, "mixing-rates"), F.col("rate")
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0,
-        budget: float | None = None) -> DataFrame:
-    """(doc_id, text_key, n_tokens, domains, posteriors, rate, copies) for every row of ``docs`` (doc_id,
-    text, any others).
+        budget: float | None = None, strict: bool = False) -> DataFrame:
+    """(doc_id, text_key, n_tokens, domains, posteriors, rate, copies, residual, converged) for every row of
+    ``docs`` (doc_id, text, any others).
 
     ``labelled`` has (text, domain); ``targets`` are weights by domain, domains that it lacks are not wanted.
     ``copies`` is how often to take the row: the rate rounded down or up, at random by a hash of the
-    document, so that the sum comes out as fitted. A null text is blank: no tokens, and the priors for
+    document, so that the sum comes out as fitted. ``converged`` says in every row whether the targets are met, and
+    ``residual`` how far, as a share of all tokens, the worst domain is from its target; with ``strict`` targets out of
+    reach are an error. A null text is blank: no tokens, and the priors for
     posteriors. Rows that repeat have the same posteriors and rate. Without labelled rows every rate is 1.
     An empty table gives no rows.
     """
@@ -143,12 +192,18 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least:
     # Without a labelled row there is one nameless domain, which everything belongs to.
     members = settled(posteriors(docs, domains, priors or [0.0], table), "mixing-members")
     weights = [float(targets.get(domain, 0.0)) for domain in domains]
-    steps = fit_rates(members, weights, least, budget) if domains else []
+    if domains:
+        found, residual, converged = rated(members, weights, least, budget)
+    else:
+        found, residual, converged = members.withColumn("rate", rate([], least)), 0.0, not any(targets.values())
+    if strict and not converged:
+        raise ValueError(f"the targets are out of reach: a domain stays {residual:.2g} of all tokens from its own")
     chance = F.pmod(F.xxhash64("doc_id", "text_key", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    return members.withColumn("rate", rate(steps, least)).select(
+    return found.select(
         "doc_id", "text_key", "n_tokens", F.array(*map(F.lit, domains)).cast("array<string>").alias("domains"),
         F.col("p").alias("posteriors"), "rate",
-        F.floor(F.col("rate") + chance).cast("long").alias("copies"))
+        F.floor(F.col("rate") + chance).cast("long").alias("copies"),
+        F.lit(residual).alias("residual"), F.lit(converged).alias("converged"))
 
 
 def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:

@@ -97,7 +97,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     best = F.array_max("posteriors")
     return mixed.select(
         "doc_id", "n_tokens", F.element_at("domains", F.array_position("posteriors", best).cast("int")).alias("domain"),
-        F.round(best, 9).alias("posterior"), F.round("rate", 9).alias("rate"), "copies")
+        F.round(best, 9).alias("posterior"), F.round("rate", 9).alias("rate"), "copies", "converged")
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:

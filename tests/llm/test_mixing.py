@@ -1,6 +1,12 @@
+from collections import Counter
+
 import numpy as np
+import pytest
+import regex
 from pyspark.sql import functions as F
 
+from xxhash import xxh64_intdigest
+
 from pagetrove.llm import mixing, queries
 
 
@@ -67,3 +73,56 @@ def test_query(spark):
         taken = sum(r.n_tokens * r.copies for r in found if r.domain == domain)
         total = sum(r.n_tokens * r.rate for r in found)
         assert abs(mixed / total - share) < 0.01 and abs(taken / total - share) < 0.05
+
+
+def _members(spark, *rows):
+    return mixing.settled(spark.createDataFrame(list(rows), "n_tokens long, p array<double>"), "t")
+
+
+def test_targets_out_of_reach_are_told(spark):
+    members = _members(spark, (100, [0.55, 0.45]), (300, [0.55, 0.45]))
+    found, residual, met = mixing.rated(members, [0.9, 0.1], 0.0)
+    made = sum(r.n_tokens * r.rate * np.array(r.p) for r in found.collect())
+    assert not met and np.allclose(np.abs(made - [360, 40]).max() / 400, residual) and residual > 0.05
+    # A domain without tokens cannot be met either.
+    _, residual, met = mixing.rated(_members(spark, (100, [1.0, 0.0])), [0.5, 0.5])
+    assert not met and residual <= mixing.TOLERANCE
+    labelled = spark.createDataFrame([("one two", "en"), ("one dos", "es")], "text string, domain string")
+    docs = spark.createDataFrame([(1, "one one"), (2, "one")], "doc_id long, text string")
+    assert {r.converged for r in mixing.mix(docs, labelled, {"en": 0.9, "es": 0.1}).collect()} == {False}
+    with pytest.raises(ValueError, match="out of reach"):
+        mixing.mix(docs, labelled, {"en": 0.9, "es": 0.1}, strict=True)
+
+
+def test_steps_go_on_while_they_help(spark):
+    members = _members(spark, (1000, [0.7, 0.3]), (1000, [0.3, 0.7]))
+    assert len(mixing.fit_rates(members, [0.65, 0.35])) == mixing.STEPS
+    found, residual, met = mixing.rated(members, [0.65, 0.35])
+    rows = found.collect()
+    made = sum(r.n_tokens * r.rate * np.array(r.p) for r in rows)
+    assert met and residual <= mixing.TOLERANCE and np.allclose(made / made.sum(), [0.65, 0.35], atol=2e-4)
+    assert min(r.rate for r in rows) >= 0
+    empty, residual, met = mixing.rated(members.limit(0), [0.5, 0.5])
+    assert empty.collect() == [] and not met
+
+
+def test_posteriors_against_numpy(spark):
+    """Naive Bayes counted anew, word by word."""
+    labelled = [("One two two three", "en"), ("uno dos \u00c9t\u00e9", "es"), ("two dos, x1y", "en"), ("", "fr")]
+    texts = ["two two uno", "", None, "\u00c9T\u00c9 one-x", "unseen"]
+
+    def buckets(text):
+        words = regex.findall(r"\p{L}+", (text or "").lower())
+        return [xxh64_intdigest(word.encode(), seed=42) % mixing.BUCKETS for word in words]
+
+    domains = ["en", "es", "fr"]
+    counts = {d: Counter(b for text, name in labelled if name == d for b in buckets(text)) for d in domains}
+    priors = np.log([sum(name == d for _, name in labelled) / len(labelled) for d in domains])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = mixing.posteriors(docs, *mixing.fit_classifier(spark.createDataFrame(labelled, "text string, domain string")))
+    got = {r.doc_id: r for r in found.collect()}
+    for i, text in enumerate(texts):
+        logs = priors + [sum(np.log((counts[d][b] + 1) / (counts[d].total() + mixing.BUCKETS)) for b in buckets(text))
+                         for d in domains]
+        chances = np.exp(logs - logs.max())
+        assert got[i].n_tokens == len(buckets(text)) and np.allclose(got[i].p, chances / chances.sum())
