@@ -5,19 +5,23 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetrove.functions import vectors as V
-from pagetrove.operators.search import BLOCK_BYTES, LIMIT, search, search_range
+from pagetrove.operators.search import BLOCK_BYTES, LIMIT, fields_by_id, search, search_range
 from pagetrove.session import settled
 
 # Default number of cells, and of cells probed per query.
 NLIST = 1024
 NPROBE = 10
 
+# Vectors that a cell's centroid is trained on, on average, at most.
+SAMPLE = 256
+
 # Bound on the centroid matrix that is broadcast.
 CENTROID_BYTES = 256 << 20
 # Centroids fetched to learn their number and dimension.
@@ -36,19 +40,26 @@ CENTROIDS = T.StructType([
 
 def train_centroids(
     vectors: DataFrame, nlist: int = NLIST, anns_field: str = "embeddings",
-    max_iter: int = 20, seed: int = 1,
+    max_iter: int = 20, seed: int = 1, sample: int | None = SAMPLE,
 ) -> DataFrame:
-    """Centroids of spherical k-means over all vectors: rows of (cell, centroid).
+    """Centroids of spherical k-means: rows of (cell, centroid).
 
-    Zero vectors have no direction, and others have elements that are not finite; both are left out
-    of the training, not of the index. There are at most as many cells as vectors to train on, one
-    for a collection without any to train on, and none without vectors at all.
+    They are trained on all vectors up to ``sample`` times ``nlist`` of them, and on a hashed share of about that
+    many beyond; None means all. Whatever they are trained on, the index holds every row. Zero vectors have
+    no direction, and others have elements that are not finite; both are left out of the training. There are
+    at most as many cells as vectors to train on, one for a collection without any to train on, and none
+    without vectors at all. Vectors are counted before they are taken, so they had better be stored ones.
     """
     usable = F.exists(anns_field, lambda x: x != 0) & F.forall(anns_field, lambda x: F.abs(x) < float("inf"))
+    points = vectors.where(usable).select(F.col(anns_field).cast("array<double>").alias("v"))
+    most, total = None if sample is None else sample * nlist, points.count()
+    if most is not None and total > most:
+        # Of equal vectors each has a place of its own in the share.
+        place = F.pmod(F.xxhash64("v", F.monotonically_increasing_id(), F.lit(seed)), F.lit(1 << 32))
+        points = points.where(place < int((1 << 32) * most / total))
     # k-means goes over its input once per iteration.
-    points = settled(vectors.where(usable).select(F.col(anns_field).cast("array<double>").alias("v")), "points")
-    # Only tells whether there are fewer vectors than cells.
-    cells = min(nlist, points.limit(nlist).count())
+    points = settled(points, "points")
+    cells = min(nlist, total)
     if cells < 2:
         known = points.first() or vectors.where(F.col(anns_field).isNotNull()).select(
             F.transform(anns_field, lambda x: F.lit(0.0)).alias("v")).first()
@@ -148,24 +159,28 @@ def _placed(df, centroids, anns_field):
 
 def build_index(
     collection: DataFrame, path: str, centroids: DataFrame | None = None,
-    nlist: int = NLIST, anns_field: str = "embeddings",
+    nlist: int = NLIST, anns_field: str = "embeddings", columns: Sequence[str] | None = None,
 ) -> str:
     """Write a collection partitioned by cell, next to its centroids. Every row has its cosine with the centroid.
 
     Rows are gathered by cell so that a cell becomes a few files; a cell that holds much of the
     collection is split over many tasks by the rebalance step. A collection without vectors makes an index
     without centroids and hits, which the first rows added to it train.
+
+    ``columns`` are the ones that the index holds, among them ids and vector; None means all. An index without
+    texts is searched together with the table that has them: see ``search_index``.
     """
     if centroids is None:
         centroids = train_centroids(collection, nlist, anns_field)
     spark = collection.sparkSession
+    rows = collection.select(*columns) if columns else collection
     centroids.write.mode("overwrite").parquet(f"{path}/centroids")
     centroids = spark.read.parquet(f"{path}/centroids")
     if centroids.isEmpty():
-        collection.withColumns({"cell": F.lit(None).cast("int"), COSINE: F.lit(None).cast("double")}).write.mode(
+        rows.withColumns({"cell": F.lit(None).cast("int"), COSINE: F.lit(None).cast("double")}).write.mode(
             "overwrite").parquet(f"{path}/cells")
         return path
-    placed = _placed(collection, centroids, anns_field)
+    placed = _placed(rows, centroids, anns_field)
     (placed.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell")
      .parquet(f"{path}/cells"))
     return path
@@ -173,12 +188,13 @@ def build_index(
 
 def append_to_index(rows: DataFrame, path: str, anns_field: str = "embeddings", nlist: int = NLIST) -> None:
     """Put more rows into an index, into the cells of its stored centroids. If it has none yet, it is built anew
-    from what it holds and these rows."""
+    from what it holds and these rows. Columns that the index does not hold are left out."""
     spark = rows.sparkSession
     centroids = spark.read.parquet(f"{path}/centroids")
+    held = read_cells(spark, path).drop("cell")
+    rows = rows.select(held.columns)
     if centroids.isEmpty():
-        held = read_cells(spark, path).drop("cell")
-        every = settled(held.unionByName(rows.select(held.columns)), "first-rows")
+        every = settled(held.unionByName(rows), "first-rows")
         build_index(every, path, nlist=nlist, anns_field=anns_field)
         return
     placed = _placed(rows, centroids, anns_field)
@@ -189,19 +205,38 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/cells").drop(COSINE)
 
 
+def _filtered(cells, rows, expr, ids):
+    """The rows of an index that a filter leaves. One on columns that only ``rows`` has is answered there."""
+    try:
+        return cells.where(expr)
+    except AnalysisException:
+        return cells.join(rows.where(expr).select(*ids), list(ids), "left_semi")
+
+
 def search_index(
     spark: SparkSession, path: str, queries: DataFrame, k: int = LIMIT, nprobe: int = NPROBE,
-    query_field: str = "embeddings", **options,
+    query_field: str = "embeddings", rows: DataFrame | None = None, **options,
 ) -> DataFrame:
-    """``search`` in the ``nprobe`` cells nearest to each query; takes the options of ``search``."""
+    """``search`` in the ``nprobe`` cells nearest to each query; takes the options of ``search``.
+
+    ``rows`` is the indexed table, if the index does not hold all of its columns. Output fields are then fetched
+    from it for the hits alone, and a filter on columns that the index lacks is answered by it: its ids are
+    joined with those of the probed cells.
+    """
     centroids = spark.read.parquet(f"{path}/centroids")
+    cells, fields = read_cells(spark, path), ()
+    ids = tuple(options.get("ids", ("id",)))
+    if rows is not None:
+        expr, fields = options.pop("expr", None), options.pop("output_fields", ())
+        cells = _filtered(cells, rows, expr, ids) if expr else cells
     if centroids.isEmpty():
-        return search(read_cells(spark, path), queries, k, query_field=query_field, **options)
-    probing = assign_cells(queries, centroids, query_field, "__cells", nprobe)
-    return search(
-        read_cells(spark, path), probing, k, query_field=query_field,
-        cell="cell", query_cells="__cells", **options,
-    )
+        hits = search(cells, queries, k, query_field=query_field, **options)
+    else:
+        probing = assign_cells(queries, centroids, query_field, "__cells", nprobe)
+        hits = search(cells, probing, k, query_field=query_field, cell="cell", query_cells="__cells", **options)
+    if not fields:
+        return hits
+    return fields_by_id(hits, rows, ids, fields, options.get("query_id", "query_id"))
 
 
 def _reachable_cells(queries, centroids, widest, threshold, query_field, out):

@@ -90,15 +90,15 @@ def range_sorted(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def ids_as_written(df: DataFrame, id_col: str = "id", start: int = 1) -> DataFrame:
+def ids_as_written(df: DataFrame, id_col: str = "id", start: int = 1, path: str | None = None) -> DataFrame:
     """Dense ids in the present order of partitions and rows.
 
     The rows are written once; a row's id is its place in its file plus the row count of the files
     before. The files fix the order, so ids stay the same when a lost task is run again. Row counts
-    come from the Parquet footers.
+    come from the Parquet footers. Who gives the ``path`` to write to can delete it after use.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "rows")
+    path = path or scratch_path(spark, "rows")
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     file = F.col("_metadata.file_name")

@@ -40,6 +40,8 @@ SCORES = 4 << 20
 LISTED_HITS = 10_000
 # Hits are broadcast for the look-up of output fields up to this many rows.
 BROADCAST_HITS = 500_000
+# Ranges of ids that a look-up of output fields is cut into.
+ID_RANGES = 64
 
 
 class _Best:
@@ -370,6 +372,41 @@ def _with_fields(hits, rows, ids, output_fields, query_id, bound):
     return hits.select(*columns, *extra)
 
 
+def id_ranges(ids: np.ndarray, most: int = ID_RANGES) -> list[tuple[int, int]]:
+    """At most ``most`` ranges (first, last) that hold all of the ids, cut at the widest gaps."""
+    ids = np.unique(ids)
+    if not len(ids):
+        return []
+    gaps = np.argsort(-np.diff(ids.astype(np.float64)), kind="stable")[:most - 1]
+    return [(int(part[0]), int(part[-1])) for part in np.split(ids, np.sort(gaps) + 1)]
+
+
+def fields_by_id(
+    hits: DataFrame, rows: DataFrame, ids: Sequence[str], output_fields: Sequence[str], query_id: str = "query_id",
+) -> DataFrame:
+    """``hits`` with output fields of the table that was searched, whose rows lie in the order of their ids, more
+    or less.
+
+    Up to ``BROADCAST_HITS`` hits are looked up by ranges of one integer id: Parquet keeps the least and
+    the greatest id of every row group, so that row groups without a hit are not read. More are joined.
+    """
+    columns = [query_id, "rank", *ids, "score"]
+    _check_fields(output_fields, (query_id, "rank", "score"))
+    extra = [name for name in output_fields if name not in columns]
+    if not extra:
+        return hits.select(*columns)
+    hits = settled(hits, "hits")
+    if hits.count() <= BROADCAST_HITS:
+        if len(ids) == 1 and isinstance(rows.schema[ids[0]].dataType, T.IntegralType):
+            found = hits.select(ids[0]).distinct().toArrow().column(0).to_numpy()
+            wanted = F.lit(False)
+            for first, last in id_ranges(found):
+                wanted |= F.col(ids[0]).between(first, last)
+            rows = rows.where(wanted)
+        hits = F.broadcast(hits)
+    return rows.select(*ids, *extra).join(hits, list(ids)).select(*columns, *extra)
+
+
 def _range_task(block, threshold, ids, vector, cell, schema):
     def run(batches):
         query_ids, queries, probes = block.value

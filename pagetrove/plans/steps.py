@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from pagetrove.functions import text as X
 from pagetrove.operators import chunking, embedding, index, numbering, report
 from pagetrove.operators import search as nn
-from pagetrove.session import settled
+from pagetrove.session import drop_folder, scratch_path, settled
 from pagetrove.sources import collection as store
 from pagetrove.sources import files, tables
 
 # Fixed value: columns returned with a hit unless others are asked for.
 OUTPUT_FIELDS = ("page_content",)
+# What the index holds of a collection: texts are fetched from the collection.
+INDEXED = ("id", "metadata", "embeddings")
 
 
 class DocumentSearch:
@@ -72,8 +74,12 @@ class DocumentSearch:
     ) -> DataFrame:
         """Number the chunks densely in the order they come in, embed them, store the collection and
         its index, for which rows are gathered by cell. The stored collection is returned. With ``distinct``
-        equal texts are embedded once, with ``variant`` metadata is stored as a VARIANT."""
-        numbered = numbering.ids_as_written(chunks)
+        equal texts are embedded once, with ``variant`` metadata is stored as a VARIANT.
+
+        Texts are stored in the collection only. The table that the numbers come from is deleted when
+        the collection stands."""
+        kept = scratch_path(self.spark, "rows")
+        numbered = numbering.ids_as_written(chunks, path=kept)
         if hasattr(self.embedder, "fit"):
             self.embedder = self.embedder.fit(numbered)
             self.embedder.save(self.spark, self._model)
@@ -81,8 +87,9 @@ class DocumentSearch:
         embedded = embed(numbered, self.embedder)
         dim = getattr(self.embedder, "dim", None)
         store.create_collection(embedded, f"{self.collection}/rows", dim, variant)
+        drop_folder(self.spark, kept)
         stored = store.read_collection(self.spark, f"{self.collection}/rows")
-        index.build_index(stored, f"{self.collection}/index", centroids, nlist)
+        index.build_index(stored, f"{self.collection}/index", centroids, nlist, columns=INDEXED)
         return stored
 
     @property
@@ -138,12 +145,11 @@ class DocumentSearch:
             "anns_field": anns_field,
         }
         k = nn.LIMIT if limit is None else limit
+        rows = store.read_collection(self.spark, f"{self.collection}/rows")
         if exact:
-            rows = store.read_collection(self.spark, f"{self.collection}/rows")
             return nn.search(rows, queries, k, **options)
         probed = index.NPROBE if nprobe is None else nprobe
-        path = f"{self.collection}/index"
-        return index.search_index(self.spark, path, queries, k, probed, **options)
+        return index.search_index(self.spark, f"{self.collection}/index", queries, k, probed, rows=rows, **options)
 
 
 def text_hits(

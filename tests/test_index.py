@@ -175,3 +175,21 @@ def test_an_index_may_start_empty(spark, queries, tmp_path):
     index.append_to_index(spark.createDataFrame(rows, empty.schema), path, nlist=4)
     assert index.read_cells(spark, path).count() == 400
     assert len(index.search_index(spark, path, queries, 3, 4).collect()) == 3 * len(QUERIES)
+
+
+def test_cells_trained_on_a_share(spark, tmp_path):
+    """Every row is indexed, and found as well as with all vectors in the training."""
+    pick = np.random.default_rng(5)
+    rows = pick.normal(size=(12, 16))[pick.integers(0, 12, 3000)] + 0.2 * pick.normal(size=(3000, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "id long, embeddings array<float>")
+    table.write.parquet(str(tmp_path / "rows"))
+    table = spark.read.parquet(str(tmp_path / "rows"))
+    asked = table.where("id % 100 = 0").withColumnRenamed("id", "query_id")
+    exact = {(r.query_id, r.id) for r in nn.search(table, asked, 10).collect()}
+    centroids = index.train_centroids(table, 12, sample=20)
+    path = index.build_index(table, str(tmp_path / "i"), centroids, columns=["id", "embeddings"])
+    assert index.read_cells(spark, path).count() == 3000
+    near = {(r.query_id, r.id) for r in index.search_index(spark, path, asked, 10, 4).collect()}
+    assert len(exact & near) >= 0.9 * len(exact)
+    every = {(r.query_id, r.id) for r in index.search_index(spark, path, asked, 10, 12).collect()}
+    assert every == exact

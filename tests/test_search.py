@@ -220,3 +220,29 @@ def test_merging_in_rounds_changes_nothing(corpus, queries, monkeypatch):
     found = nn.search(corpus.repartition(16), queries, 3)
     assert sorted(found.collect()) == expected
     assert plan(found).count("Window ") >= 4
+
+
+def test_id_ranges():
+    assert nn.id_ranges(np.array([], dtype=np.int64)) == []
+    assert nn.id_ranges(np.array([5, 1, 5, 2, 90, 91, 40]), 3) == [(1, 5), (40, 40), (90, 91)]
+    assert nn.id_ranges(np.array([3, 7, 1000]), 1) == [(3, 1000)]
+    assert nn.id_ranges(np.array([-2**63, 2**63 - 1])) == [(-2**63, -2**63), (2**63 - 1, 2**63 - 1)]
+
+
+def test_fields_by_id_reads_ranges(spark, corpus, queries, tmp_path):
+    corpus.withColumn("name", F.format_string("n%d", "id")).write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    hits = nn.search(stored, queries, 3)
+    found = nn.fields_by_id(hits, stored, ["id"], ["name", "tag"])
+    assert "GreaterThanOrEqual(id," in plan(found) and "embeddings" not in plan(found).split("ReadSchema")[1].split(">")[0]
+    wanted = nn.search(stored, queries, 3, output_fields=["name", "tag"])
+    assert found.columns == wanted.columns and sorted(found.collect()) == sorted(wanted.collect())
+    none = nn.fields_by_id(hits.where("rank < 0"), stored, ["id"], ["name"])
+    assert none.collect() == [] and none.columns == [*hits.select("query_id", "rank", "id", "score").columns, "name"]
+
+
+def test_many_hits_are_joined(spark, corpus, queries, monkeypatch):
+    monkeypatch.setattr(nn, "BROADCAST_HITS", 1)
+    hits = nn.search(corpus, queries, 3)
+    assert sorted(nn.fields_by_id(hits, corpus, ["id"], ["tag"]).collect()) == sorted(
+        nn.search(corpus, queries, 3, output_fields=["tag"]).collect())

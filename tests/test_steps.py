@@ -1,4 +1,8 @@
+import glob
+import os
+
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pagetrove.plans.steps import DocumentSearch
@@ -107,6 +111,37 @@ def test_a_collection_may_start_empty(spark, tmp_path, kind):
     assert [r.id for r in made.retrieve("red plums").collect()] == [1]
 
 
+def test_texts_are_stored_once(spark, flow, tmp_path):
+    cells = spark.read.parquet(f"{flow.collection}/index/cells")
+    assert set(cells.columns) == {"id", "metadata", "embeddings", "cell", "__cosine"}
+    made = DocumentSearch(spark, str(tmp_path / "s"))
+    before = set(glob.glob(scratch(spark)))
+    made.embed_and_store(pages(spark, "red apples", "green pears"), nlist=2)
+    assert not [p for p in set(glob.glob(scratch(spark))) - before if os.path.basename(p).startswith("rows-")]
+
+
+def scratch(spark):
+    return f"{spark.conf.get('spark.checkpoint.dir')}/scratch-{spark.sparkContext.applicationId}/*"
+
+
+@pytest.mark.parametrize("expr", [None, "page_content like '%mountain%'", "id < 4", "metadata is not null",
+                                  "id > 1 and page_content like '%o%'", "id < 0"])
+def test_index_without_texts_gives_what_exact_search_gives(flow, expr):
+    options = {"threshold": -2.0, "limit": 4, "expr": expr, "output_fields": ["metadata", "page_content"]}
+    exact = flow.retrieve("mountain cars", exact=True, **options)
+    probed = flow.retrieve("mountain cars", nprobe=9, **options)
+    assert probed.columns == exact.columns
+    assert sorted(probed.collect()) == sorted(exact.collect())
+    assert (exact.count() == 0) == (expr == "id < 0")
+
+
+def test_a_filter_that_no_table_understands(flow):
+    with pytest.raises(AnalysisException):
+        flow.retrieve("cars", expr="colour = 'red'")
+    with pytest.raises(ValueError, match="may not be named"):
+        flow.retrieve("cars", output_fields=["score"])
+
+
 def picky(content, path):
     if b"cars" in content:
         raise ValueError("no cars")
