@@ -9,8 +9,8 @@ The index is spread by a pigeonhole: of ``pieces`` equal parts of a code at most
 so two linked codes agree on ``pieces - limit`` of them. For every choice of parts there is one table,
 whose codes have those parts in front; codes that agree there are neighbours in Gray order. Tables are
 dealt by range of the rank, so a crowded range is split over tasks. Ranges that go over the edge of a
-task, or over more codes than a run may hold, are joined run by run; the pattern at the top of an index
-ends most of these searches at once.
+task, or over more codes than a run may hold, are joined run by run: first the patterns at the tops of
+their indexes, and only runs whose patterns are near enough meet with all their codes.
 """
 
 from itertools import combinations, repeat
@@ -178,19 +178,28 @@ def _edges(codes, labels):
     return codes[at], codes[labels[at]]
 
 
-_FOUND = "a long, b long, part int, head long, run long, ranks binary"
+_FOUND = "a long, b long, part int, head long, run long, pattern long, fixed long, ranks binary"
+
+
+def top_pattern(codes: np.ndarray) -> tuple[int, int]:
+    """The first code, and the bits on which all others agree with it, as signed longs."""
+    fixed = ~np.bitwise_or.reduce(codes ^ codes[0])
+    return tuple(np.array([codes[0], fixed]).view(np.int64).tolist())
 
 
 def _found(a=(), b=(), part=None, runs=()):
     links = len(a)
+    tops = [top_pattern(gray_code(r[1])) for r in runs]
     return pa.RecordBatch.from_arrays([
         pa.array(np.concatenate([np.asarray(a, np.uint64).view(np.int64), np.zeros(len(runs), np.int64)])),
         pa.array(np.concatenate([np.asarray(b, np.uint64).view(np.int64), np.zeros(len(runs), np.int64)])),
         pa.array([None] * links + [part] * len(runs), pa.int32()),
         pa.array([None] * links + [int(np.int64(r[0])) for r in runs], pa.int64()),
         pa.array([None] * links + [int(r[1][:1].view(np.int64)[0]) for r in runs], pa.int64()),
+        pa.array([None] * links + [pattern for pattern, _ in tops], pa.int64()),
+        pa.array([None] * links + [fixed for _, fixed in tops], pa.int64()),
         pa.array([None] * links + [r[1].tobytes() for r in runs], pa.binary()),
-    ], names=["a", "b", "part", "head", "run", "ranks"])
+    ], names=["a", "b", "part", "head", "run", "pattern", "fixed", "ranks"])
 
 
 def _search_tables(layout, limit):
@@ -277,15 +286,28 @@ def code_links(codes: DataFrame, limit: int = 3, pieces: int = 5) -> DataFrame:
     ranked = dealt.repartitionByRange(tasks, "part", "rank").sortWithinPartitions("part", "rank")
     found = settled(ranked.mapInArrow(_search_tables(layout, limit), _FOUND), "simhash-links")
     inside = found.where(F.col("ranks").isNull()).select("a", "b")
-    runs = found.where(F.col("ranks").isNotNull()).select("part", "head", "run", "ranks")
-    left = runs.withColumnsRenamed({"run": "run_a", "ranks": "ranks_a"})
-    right = runs.withColumnsRenamed({"run": "run_b", "ranks": "ranks_b"})
-    pairs = left.join(right, ["part", "head"]).where(F.col("run_a") < F.col("run_b"))
+    runs = found.where(F.col("ranks").isNotNull())
+    pairs = near_runs(runs, limit)
+    for side in ("a", "b"):
+        pairs = pairs.join(runs.select("part", F.col("run").alias(f"run_{side}"),
+                                       F.col("ranks").alias(f"ranks_{side}")), ["part", f"run_{side}"])
     across = pairs.select("part", "ranks_a", "ranks_b").mapInArrow(
         _search_runs(layout, limit), "a long, b long")
     return inside.unionByName(across)
 
 
+def near_runs(runs: DataFrame, limit: int) -> DataFrame:
+    """(part, run_a, run_b): the runs of a head whose patterns do not differ in more than ``limit`` of the bits that
+    are fixed in both. No codes move for it; runs left out have no link, whatever their codes."""
+    def tops(side):
+        return runs.select("part", "head", *(F.col(c).alias(f"{c}_{side}") for c in ("run", "pattern", "fixed")))
+
+    differing = F.col("pattern_a").bitwiseXOR(F.col("pattern_b")).bitwiseAND(
+        F.col("fixed_a")).bitwiseAND(F.col("fixed_b"))
+    near = (F.col("run_a") < F.col("run_b")) & (F.bit_count(differing) <= limit)
+    return tops("a").join(tops("b"), ["part", "head"]).where(near).select("part", "run_a", "run_b")
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, limit: int = 3, pieces: int = 5) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text, any others).
 

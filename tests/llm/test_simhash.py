@@ -96,6 +96,23 @@ def test_links_are_complete(spark, monkeypatch, pieces, run, leaf):
     assert {frozenset(v) for v in by_ours.values()} == {frozenset(v) for v in by_theirs.values()}
 
 
+def test_runs_that_cannot_be_linked_do_not_meet(spark):
+    """Runs of one head around distant and near centres, against all pairs of their codes."""
+    random = np.random.default_rng(9)
+    centres = [0, 0b111, 0b1111 << 20, 0xFFFF << 8, 2**39 - 1]
+    runs, rows = {}, []
+    for centre in centres:
+        codes = [centre ^ int(x) << 3 for x in random.integers(0, 4, 6)]
+        codes = np.unique(simhash.gray_rank(np.array(codes, np.uint64)))
+        runs[int(codes[0])] = simhash.gray_code(codes)
+        rows.append((1, 5, int(codes[0]), *simhash.top_pattern(simhash.gray_code(codes))))
+    table = spark.createDataFrame(rows + [(1, 6, -1, 0, -1)], "part int, head long, run long, pattern long, fixed long")
+    found = {(r.run_a, r.run_b) for r in simhash.near_runs(table, 3).collect()}
+    linked = {(a, b) for a, b in combinations(sorted(runs), 2)
+              if any(int(x ^ y).bit_count() <= 3 for x in runs[a] for y in runs[b])}
+    assert linked and linked <= found and len(found) < len(runs) * (len(runs) - 1) // 2
+
+
 def test_index_finds_all(monkeypatch):
     monkeypatch.setattr(simhash, "LEAF", 4)
     random = np.random.default_rng(1)
