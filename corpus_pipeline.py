@@ -7,7 +7,6 @@ return the columns of ``documents``.
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pagetrove.llm import automaton, mixing, packing, queries, rules, simhash
 from pagetrove.session import scratch_path, settled, ship, table
@@ -49,12 +48,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The languages' expected tokens are moved towards each other by repeating documents of the smaller
-    ones. No rate is below 1, so no document goes."""
+    ones. No rate is below 1, so no document goes. All labelled documents teach what a language is like, and
+    all documents of the stage are counted."""
     ship(spark)
     labelled = settled(queries.trusted_languages(spark, sf_dir), "pipeline-labelled")
-    sizes = labelled.where("domain IS NOT NULL AND text IS NOT NULL").groupBy("domain").agg(
-        F.sum(F.char_length("text")).alias("size")).collect()
-    targets = {row["domain"]: row["size"] ** TEMPER for row in sizes}
+
+    def targets(tokens):
+        return {domain: size ** TEMPER for domain, size in tokens.items()}
+
     return mixing.repeat_rows(docs, mixing.mix(docs, labelled, targets, least=1.0))
 
 

@@ -12,6 +12,7 @@ whose table has a fixed number of rows.
 """
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -175,12 +176,13 @@ def rated(members: DataFrame, targets: list[float], least: float = 0.0,
         members, start = settled(after, "mixing-rates"), F.col("rate")
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0,
-        budget: float | None = None, strict: bool = False) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | Callable[[dict[str, float]], dict[str, float]],
+        least: float = 0.0, budget: float | None = None, strict: bool = False) -> DataFrame:
     """(doc_id, text_key, n_tokens, domains, posteriors, rate, copies, residual, converged) for every row of
     ``docs`` (doc_id, text, any others).
 
-    ``labelled`` has (text, domain); ``targets`` are weights by domain, domains that it lacks are not wanted.
+    ``labelled`` has (text, domain); ``targets`` are weights by domain, domains that it lacks are not wanted, or a
+    function that gives them for the expected tokens of the domains in all of ``docs``.
     ``copies`` is how often to take the row: the rate rounded down or up, at random by a hash of the
     document, so that the sum comes out as fitted. ``converged`` says in every row whether the targets are met, and
     ``residual`` how far, as a share of all tokens, the worst domain is from its target; with ``strict`` targets out of
@@ -191,6 +193,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least:
     domains, priors, table = fit_classifier(labelled)
     # Without a labelled row there is one nameless domain, which everything belongs to.
     members = settled(posteriors(docs, domains, priors or [0.0], table), "mixing-members")
+    if callable(targets):
+        targets = targets(dict(zip(domains, _expected(members, F.lit(1.0), len(domains)))) if domains else {})
     weights = [float(targets.get(domain, 0.0)) for domain in domains]
     if domains:
         found, residual, converged = rated(members, weights, least, budget)

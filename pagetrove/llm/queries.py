@@ -73,22 +73,16 @@ def op7_rans(spark: SparkSession, folder: str) -> DataFrame:
 MIX = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
 
 
-# Labelled documents that the classifier learns from: this many, or all if there are fewer.
-LABELLED = 200_000
+def trusted_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled table: the texts of all documents that ``labels`` calls good and not toxic, with their
+    language. The language of all other documents is not relied on.
 
-
-def trusted_languages(spark: SparkSession, folder: str, most: int = LABELLED) -> DataFrame:
-    """The labelled table: texts that ``labels`` calls good and not toxic, with their language. The
-    language of all other documents is not relied on.
-
-    If there are more than ``most`` such labels, a share is taken by a hash of the doc_id, about ``most``
-    of them. Their ids are therefore bounded and broadcast, so that no text is shuffled.
+    Labels grow with the documents, so Spark chooses how the two are joined: it broadcasts the ids for as long as they
+    are few, and shuffles beyond that.
     """
     labels = table(spark, folder, "labels", "doc_id", "quality", "toxic")
     good = labels.where("quality = 1 AND toxic = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    share = int(min(1.0, most / max(1, good.count())) * (1 << 30))
-    chosen = good.where(F.pmod(F.xxhash64("doc_id", F.lit("labelled")), F.lit(1 << 30)) < share)
-    return _documents(spark, folder, "lang").join(F.broadcast(chosen), "doc_id", "left_semi").select(
+    return _documents(spark, folder, "lang").join(good, "doc_id", "left_semi").select(
         "text", F.col("lang").alias("domain"))
 
 

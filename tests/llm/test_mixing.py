@@ -3,6 +3,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import regex
+from conftest import plan
 from pyspark.sql import functions as F
 
 from xxhash import xxh64_intdigest
@@ -126,3 +127,36 @@ def test_posteriors_against_numpy(spark):
                          for d in domains]
         chances = np.exp(logs - logs.max())
         assert got[i].n_tokens == len(buckets(text)) and np.allclose(got[i].p, chances / chances.sum())
+
+
+def test_all_labelled_documents_teach(spark, tmp_path):
+    rows = 260_000
+    docs = spark.range(rows).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.lit("en").alias("lang"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    assert queries.trusted_languages(spark, str(tmp_path)).count() == rows
+    # Ids too many to be broadcast are joined by a shuffle, with the same rows.
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        found = queries.trusted_languages(spark, str(tmp_path))
+        assert "BroadcastHashJoin" not in plan(found) and found.count() == rows
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_targets_from_all_tokens(spark):
+    labelled = spark.createDataFrame([("one two three", "en"), ("uno dos tres", "es")], "text string, domain string")
+    docs = spark.createDataFrame([(1, "one two " * 30), (2, "uno dos " * 10), (3, None)], "doc_id long, text string")
+    given = []
+
+    def targets(tokens):
+        given.append(tokens)
+        return {"en": 1.0, "es": 1.0}
+
+    found = {r.doc_id: r for r in mixing.mix(docs, labelled, targets, least=1.0).collect()}
+    assert abs(given[0]["en"] - 60) < 0.5 and abs(given[0]["es"] - 20) < 0.5
+    assert found[2].rate > 2.5 and found[1].rate < 1.1
+    nothing = mixing.mix(docs, labelled.limit(0), targets).collect()
+    assert given[1] == {} and {r.rate for r in nothing} == {1.0}

@@ -60,3 +60,19 @@ def test_empty_table(spark):
         assert made.columns == docs.columns or name == "best-fit packing"
         docs = settled(made, "t")
     assert docs.count() == 0
+
+
+def test_mixing_counts_all_documents(spark, tmp_path, monkeypatch):
+    """Labels show as much of one language as of the other; most of the documents are of one."""
+    rows = [(i, "one two three four" if i < 90 else "uno dos tres cuatro", "en" if i < 90 else "es", "s", 18)
+            for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(80, 100)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(corpus_pipeline, "TEMPER", 1.0)
+    kept = corpus_pipeline.mix_sources(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(100))
+    monkeypatch.setattr(corpus_pipeline, "TEMPER", 0.0)
+    even = Counter(r.lang for r in corpus_pipeline.mix_sources(spark, docs, str(tmp_path)).collect())
+    assert even["en"] <= 95 and 75 <= even["es"] <= 105
