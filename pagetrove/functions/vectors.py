@@ -14,8 +14,8 @@ SCORE_DIGITS = 6
 
 # A squared distance below this share of the squares it is made of is taken from the differences.
 CANCELLED = 1e-3
-# Bound on a matrix inside a task, in elements.
-ELEMENTS = 4 << 20
+# Bound on a matrix inside a task, in elements. Several of its size are held at a time, in every Python worker.
+ELEMENTS = 1 << 19
 
 # Metric names, and whether a greater value means a closer vector.
 METRICS = {"COSINE": True, "IP": True, "L2": False}
@@ -115,4 +115,6 @@ def score_matrix(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarr
         scores = rows @ queries.T
     else:
         scores = unit_rows(rows) @ unit_rows(queries).T
-    return np.round(scores, SCORE_DIGITS) + 0.0
+    np.round(scores, SCORE_DIGITS, out=scores)
+    scores += 0.0
+    return scores

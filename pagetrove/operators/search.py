@@ -34,8 +34,10 @@ MERGE_ROWS = 5_000_000
 MOST_TASKS = 100_000
 # Queries fetched to learn their number and dimension; most searches have no more.
 FIRST_QUERIES = 1024
-# Bound on one score matrix inside a task, in elements.
-SCORES = 4 << 20
+# Bound on one score matrix inside a task, in elements. Several of its size are held at a time, in every Python worker.
+SCORES = 1 << 19
+# Hits that wait in a task before they are sorted in with the best ones.
+WAITING = 1 << 17
 # The files of up to this many hits are listed in the plan.
 LISTED_HITS = 10_000
 # Hits are broadcast for the look-up of output fields up to this many rows.
@@ -53,24 +55,32 @@ class _Best:
         self.floor = np.full(len(queries), -np.inf)
         self.threshold = None if threshold is None else self.sign * threshold
         self.hits = pd.DataFrame({"q": [], "merit": [], **{name: [] for name in ids}})
+        self.waiting, self.many = [], 0
 
-    def offer(self, rows, keys, members=None):
-        """Score rows with all queries, or with the numbered ones only."""
+    def offer(self, vectors, keys, members=None):
+        """Score rows, given by a matrix or an Arrow array of vectors, with all queries, or with the numbered ones only."""
+        asked = self.matrix if members is None else self.matrix[members]
         members = np.arange(len(self.matrix)) if members is None else members
         if not len(members):
             return
         step = max(1, SCORES // len(members))
-        for at in range(0, len(rows), step):
-            scores = V.score_matrix(rows[at:at + step], self.matrix[members], self.metric)
+        for at in range(0, len(vectors), step):
+            rows = vectors[at:at + step]
+            # Of an Arrow array only these rows become doubles.
+            rows = rows if isinstance(rows, np.ndarray) else V.matrix(rows, asked.shape[1])
+            merit = V.score_matrix(rows, asked, self.metric)
+            merit *= self.sign
             # A vector with NaN or infinite elements has no score and is no hit.
-            merit = np.where(np.isfinite(scores), self.sign * scores, -np.inf)
+            merit[~np.isfinite(merit)] = -np.inf
             self._take(merit, members, keys.slice(at, step))
+        self._sort_in()
 
     def _take(self, merit, members, keys):
         bar = self.floor[members]
         if len(merit) > self.k:
             kth = np.partition(merit, len(merit) - self.k, axis=0)[len(merit) - self.k]
-            bar = np.maximum(bar, kth)
+            # That many rows are as good, so that no lesser one is a hit.
+            self.floor[members] = bar = np.maximum(bar, kth)
         # Rows equal to the k-th score stay in: their ids decide.
         wanted = (merit >= bar) & (merit > -np.inf)
         if self.threshold is not None:
@@ -81,14 +91,25 @@ class _Best:
         found = keys.take(pa.array(row)).to_pandas()
         found.insert(0, "q", members[member])
         found.insert(1, "merit", merit[row, member])
-        hits = pd.concat([self.hits, found]) if len(self.hits) else found
+        self.waiting.append(found)
+        self.many += len(found)
+        if self.many > max(WAITING, len(self.hits)):
+            self._sort_in()
+
+    def _sort_in(self):
+        """Of the best rows and those that wait, the best ``k`` of each query."""
+        if not self.many:
+            return
+        hits = pd.concat([self.hits, *self.waiting] if len(self.hits) else self.waiting)
+        self.waiting, self.many = [], 0
         hits = hits.sort_values(
             ["q", "merit", *self.ids], ascending=[True, False] + [True] * len(self.ids)
         )
         self.hits = hits[hits.groupby("q").cumcount() < self.k]
         full = self.hits.groupby("q")["merit"].agg(["size", "min"])
         full = full[full["size"] == self.k]
-        self.floor[full.index.to_numpy(dtype=np.int64)] = full["min"].to_numpy()
+        number = full.index.to_numpy(dtype=np.int64)
+        self.floor[number] = np.maximum(self.floor[number], full["min"].to_numpy())
 
     def batch(self, query_ids, schema):
         number = self.hits["q"].to_numpy(dtype=np.int64)
@@ -109,16 +130,16 @@ def _task(block, k, metric, threshold, ids, vector, cell, schema):
             batch = batch.filter(batch.column(vector).is_valid())
             if not batch.num_rows:
                 continue
-            rows = V.matrix(batch.column(vector), queries.shape[1])
+            vectors = batch.column(vector)
             keys = pa.Table.from_batches([batch]).select(ids)
             if cell is None:
-                best.offer(rows, keys)
+                best.offer(vectors, keys)
             else:
                 cells = batch.column(cell).to_numpy()
                 for value in np.unique(cells):
                     at = np.flatnonzero(cells == value)
                     members = probes.get(int(value), np.zeros(0, dtype=np.int64))
-                    best.offer(rows[at], keys.take(pa.array(at)), members)
+                    best.offer(vectors.take(pa.array(at)), keys.take(pa.array(at)), members)
             # With a very large k a task hands on what it has, and Spark ranks it.
             if len(best.hits) > TASK_HITS:
                 yield best.batch(query_ids, schema)

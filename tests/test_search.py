@@ -1,8 +1,14 @@
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import plan
 from pyspark.sql import functions as F
 
+from pagetrove.functions import vectors as V
+from pagetrove.operators import embedding
 from pagetrove.operators import search as nn
 
 RNG = np.random.default_rng(5)
@@ -246,3 +252,47 @@ def test_many_hits_are_joined(spark, corpus, queries, monkeypatch):
     hits = nn.search(corpus, queries, 3)
     assert sorted(nn.fields_by_id(hits, corpus, ["id"], ["tag"]).collect()) == sorted(
         nn.search(corpus, queries, 3, output_fields=["tag"]).collect())
+
+
+def _peak(run):
+    """Bytes that a function's Python objects and matrices take at most."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_full_batches_take_little_memory():
+    """A task scores a batch piece by piece, and finds what a plain sort finds."""
+    random = np.random.default_rng(5)
+    rows, asked = random.normal(size=(20_000, 256)).astype(np.float32), random.normal(size=(200, 256))
+    asked[7] = asked[3]
+    rows[15_000:15_010] = rows[4]
+    schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+    block = SimpleNamespace(value=(pa.array(np.arange(200)), asked, {}))
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + 10_000)), V.list_array(rows[at:at + 10_000])],
+                                          names=["id", "v"]) for at in (0, 10_000)]
+    found, peak = _peak(lambda: list(nn._task(block, 3, "COSINE", 0.01, ["id"], "v", None, schema)(iter(batches))))
+    assert peak < 40e6
+    scores = V.score_matrix(rows.astype(np.float64), asked, "COSINE")
+    best = {q: np.lexsort((np.arange(len(rows)), -scores[:, q]))[:3].tolist() for q in range(200)}
+    got = pa.Table.from_batches(found).to_pandas().groupby("query_id")["id"].apply(list).to_dict()
+    assert got == best
+    text = embedding._counts_to_unit_vectors(256).func
+    words = pa.array(random.integers(0, 256, (10_000, 100)).astype(np.int32).tolist(), pa.list_(pa.int32()))
+    vectors, peak = _peak(lambda: text(words))
+    assert peak < 40e6 and len(vectors) == 10_000
+    counts = np.array([np.bincount(row, minlength=256) for row in words.to_pylist()], dtype=np.float64)
+    assert np.array_equal(V.matrix(vectors, 256).astype(np.float32), V.unit_rows(counts).astype(np.float32))
+
+
+def test_equal_rows_wait_in_bounded_numbers(monkeypatch):
+    monkeypatch.setattr(nn, "WAITING", 50)
+    monkeypatch.setattr(nn, "SCORES", 40)
+    vectors = np.ones((300, 4))
+    vectors[250:] = [1.0, 0.0, 0.0, 0.0]
+    best = nn._Best(np.array([[1.0, 1.0, 1.0, 1.0], [1.0, 0.0, 0.0, 0.0]]), 2, "IP", None, ["id"])
+    ids = np.arange(300)[::-1].copy()
+    best.offer(V.list_array(vectors), pa.table({"id": ids}))
+    assert best.hits[["q", "merit", "id"]].to_numpy().tolist() == [[0, 4, 50], [0, 4, 51], [1, 1, 0], [1, 1, 1]]
