@@ -354,7 +354,7 @@ def _search_joined(rows, wanted, columns, args):
             return arrow.empty_table()
         queries = V.matrix(asking.column("__asked"))
         best = _Best(queries, k, metric, threshold, list(ids))
-        best.offer(V.matrix(found.column(vector), queries.shape[1]), found.select(list(ids)))
+        best.offer(found.column(vector), found.select(list(ids)))
         return pa.Table.from_batches([best.batch(asking.column("__query").combine_chunks(), arrow)])
 
     partial = dealt(rows, ids, "__row", "__query").groupBy(*group).cogroup(

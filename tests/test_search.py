@@ -296,3 +296,17 @@ def test_equal_rows_wait_in_bounded_numbers(monkeypatch):
     ids = np.arange(300)[::-1].copy()
     best.offer(V.list_array(vectors), pa.table({"id": ids}))
     assert best.hits[["q", "merit", "id"]].to_numpy().tolist() == [[0, 4, 50], [0, 4, 51], [1, 1, 0], [1, 1, 1]]
+
+
+def test_full_groups_take_little_memory():
+    """Rows and queries of one group of the join, given as Arrow arrays of several chunks."""
+    random = np.random.default_rng(6)
+    rows, asked = random.normal(size=(8_000, 64)).astype(np.float32), random.normal(size=(3_000, 64))
+    vectors = pa.chunked_array([V.list_array(rows[:3_000]), V.list_array(rows[3_000:])])
+    best = nn._Best(asked, 4, "COSINE", None, ["id"])
+    _, peak = _peak(lambda: best.offer(vectors, pa.table({"id": np.arange(8_000)})))
+    assert peak < 40e6
+    scores = V.score_matrix(rows.astype(np.float64), asked, "COSINE")
+    for q in range(0, 3_000, 100):
+        mine = best.hits[best.hits["q"] == q]["id"].tolist()
+        assert mine == np.lexsort((np.arange(len(rows)), -scores[:, q]))[:4].tolist()
