@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from pagetrove.session import settled
+
 # A document's words are the runs of characters other than space and \t \n \v \f \r, which is what
 # bytes.split() finds in UTF-8. The regular expression says the same to Spark.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +58,31 @@ def same_row(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     return keyed.join(marks, match, how).drop("__key", "__doc_id", "__text_key")
 
 
+# Rows of a file whose marks meet them in one row of a join, and rows whose marks make one number.
+BLOCK, WORD_BITS = 4096, 64
+
+
+def rows_with_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``df``, a table read from Parquet files, whose ``doc_id`` is in ``ids`` (doc_id, each once): what a
+    left semi join gives, but the other columns are not shuffled for it.
+
+    Ids meet the places (file, row) they stand at; the places found are written as one bit for each row of the table,
+    and those bits meet the rows by file and block of rows. Spark chooses how: it broadcasts the bits for as long as
+    they are few (2.1 MB for 15.4 million rows in 60 files, where its limit is 10 MB), and shuffles the rows beyond that.
+    """
+    row, file = F.col("_metadata.row_index"), F.col("_metadata.file_path")
+    spot = {"__file": file, "__block": F.floor(row / BLOCK), "__word": F.floor(row % BLOCK / WORD_BITS).cast("int"),
+            "__bit": (row % WORD_BITS).cast("int")}
+    places = df.select("doc_id", *[column.alias(name) for name, column in spot.items()])
+    # A join by shuffle at every size: places are small, and their share of the input stays the same.
+    found = places.join(ids.hint("merge"), "doc_id", "left_semi")
+    words = found.groupBy("__file", "__block", "__word").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
+    blocks = settled(words.groupBy("__file", "__block").agg(
+        F.map_from_entries(F.collect_list(F.struct("__word", "__bits"))).alias("__words")), "places")
+    marked = df.withColumns(spot).join(blocks, ["__file", "__block"])
+    return marked.where(F.getbit(F.col("__words")[F.col("__word")], F.col("__bit")) == 1).select(df.columns)
+
+
 def even_cuts(df: DataFrame, column: str, parts: int) -> list[int]:
     """At most ``parts - 1`` values that cut an integer column into parts of about equal row counts."""
     shares = [i / parts for i in range(1, parts)]

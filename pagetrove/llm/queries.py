@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagetrove.llm import (
     automaton, bag_search, brown, decontaminate, edit_counts, hard_negatives, mixing, packing, rans, rules, shard, simhash, span_hash,
 )
+from pagetrove.llm.common import rows_with_ids
 from pagetrove.session import scratch_path, table
 
 
@@ -77,13 +78,11 @@ def trusted_languages(spark: SparkSession, folder: str) -> DataFrame:
     """The labelled table: the texts of all documents that ``labels`` calls good and not toxic, with their
     language. The language of all other documents is not relied on.
 
-    Labels grow with the documents, so Spark chooses how the two are joined: it broadcasts the ids for as long as they
-    are few, and shuffles beyond that.
+    Labels grow with the documents, so their ids are not broadcast; no text is shuffled to meet them, either.
     """
     labels = table(spark, folder, "labels", "doc_id", "quality", "toxic")
     good = labels.where("quality = 1 AND toxic = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return _documents(spark, folder, "lang").join(good, "doc_id", "left_semi").select(
-        "text", F.col("lang").alias("domain"))
+    return rows_with_ids(_documents(spark, folder, "lang"), good).select("text", F.col("lang").alias("domain"))
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:

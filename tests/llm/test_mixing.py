@@ -146,6 +146,35 @@ def test_all_labelled_documents_teach(spark, tmp_path):
         spark.conf.set(threshold, before)
 
 
+def test_labelled_texts_are_not_shuffled(spark, tmp_path):
+    """Ids too many to be broadcast, repeated and null ones, rows of several files, some without any
+    labelled row near them."""
+    rows = 60_000
+    docs = spark.range(rows, numPartitions=3).select(
+        F.when(F.col("id") % 1000 != 0, F.floor(F.col("id") / 2)).alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(rows).select(
+        F.when(F.col("id") % 7 != 0, F.floor(F.col("id") / 2)).alias("doc_id"),
+        F.when(F.col("id") % 5 != 0, F.lit(1)).alias("quality"),
+        F.when(F.col("id") < 38_000, (F.col("id") % 3 == 0).cast("int")).alias("toxic"),
+    ).write.parquet(f"{tmp_path}/labels.parquet")
+    good = spark.read.parquet(f"{tmp_path}/labels.parquet").where("quality = 1 AND toxic = 0")
+    wanted = sorted(r.text for r in docs.join(good, "doc_id", "left_semi").collect())
+    assert 10_000 < len(wanted) < rows
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        for size in ("64k", "-1"):
+            spark.conf.set(threshold, size)
+            found = queries.trusted_languages(spark, str(tmp_path))
+            assert sorted(r.text for r in found.collect()) == wanted
+            assert ("SortMergeJoin" in plan(found)) == (size == "-1")
+            assert {r.domain for r in found.collect()} == {"en"}
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_targets_from_all_tokens(spark):
     labelled = spark.createDataFrame([("one two three", "en"), ("uno dos tres", "es")], "text string, domain string")
     docs = spark.createDataFrame([(1, "one two " * 30), (2, "uno dos " * 10), (3, None)], "doc_id long, text string")
